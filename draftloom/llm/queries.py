@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from draftloom.llm import chunking, groups, sampling
+from draftloom.llm import chunking, groups, sampling, tokens
 from draftloom.session import table
 
 
@@ -53,3 +53,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "p6_found": "SELECT DISTINCT target_id FROM targets WHERE length(text) > 8000",
 }
+
+
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.encode(table(spark, d, "documents"), "doc_id", "text")
+
+
+QUERIES |= {"p7_ids": p7_ids}
