@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from draftloom.llm import chunking, groups, sampling, tokens
+from draftloom.llm import chunking, groups, mojibake, sampling, tokens
 from draftloom.session import table
 
 
@@ -60,3 +60,15 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p7_ids": p7_ids}
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return mojibake.garbled(table(spark, d, "documents")).select("doc_id")
+
+
+def p9_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """The affected documents with their chain, posterior and restored text."""
+    return mojibake.repaired(table(spark, d, "documents"))
+
+
+QUERIES |= {"p9_found": p9_found, "p9_repaired": p9_repaired}
