@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from draftloom.llm import chunking, groups, mojibake, sampling, tokens
+from draftloom.llm import chunking, defects, groups, mojibake, sampling, tokens
 from draftloom.session import table
 
 
@@ -72,3 +72,15 @@ def p9_repaired(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p9_found": p9_found, "p9_repaired": p9_repaired}
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = table(spark, d, "pairs")
+    a = defects.flag_defects(pairs, "pairs", "pair_id", defects.turn(F.col("messages"), "user"), defects.turn(F.col("messages"), "assistant"), F.col("context"))
+    asked = table(spark, d, "targets").groupBy("target_id").agg(F.max("text").alias("asked"), F.max("context").alias("heading"))
+    outputs = table(spark, d, "gen_outputs").select("output_id", "target_id", "text").join(asked, "target_id", "left")
+    b = defects.flag_defects(outputs, "gen_outputs", "output_id", F.col("asked"), F.col("text"), F.col("heading"))
+    return a.unionByName(b)
+
+
+QUERIES |= {"p2_found": p2_found}
