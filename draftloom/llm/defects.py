@@ -221,7 +221,7 @@ STOPWORDS = {
     "en": "the and of to is was that with for not but from this which are you it on as by be at or an have has were been their its they we he she i my in",
     "de": "der die das und ist nicht mit von den dem ein eine einen einem einer für auf sich im zu auch es ich wir sie war haben hat wird werden als noch nur aus bei nach über keiner kein keine aber oder dass daß jeder heute",
     "fr": "le les des et est un une du dans que qui pour pas sur au aux avec ce cette il elle nous vous je ne plus par sont été mais ou comme sans rien toute tout depuis cet leur dont",
-    "es": "el los las y es un una del que por con para se lo su al como más pero sus le ya o este sí porque esta entre cuando muy sin sobre también hasta nada nadie fue desde hace todo ser sido",
+    "es": "el los las y es un una del que por con para se lo su al como más pero sus ya o este sí porque esta entre cuando muy sin sobre también hasta nada nadie fue desde hace todo ser sido",
     "pt": "o os as e é um uma do da dos das que por com para se no na nos nas mais mas como ao à não já foi há em ou seu sua pelo pela muito também só ninguém tem ser nada",
     "pl": "i w na z nie się jest że do to jak ale po od za przez dla czy tylko już był była było są ten ta te więc żeby nikt który która które każdy został znów swój mi o",
     "it": "il lo gli e è un una di che per con non si della dei delle nel nella sono come più ma anche questo questa al alla da ha",
@@ -267,7 +267,7 @@ def other_language(prompt: str, answer: str) -> bool:
     la, lp = max(a, key=lambda x: (a[x], x)), max(p, key=lambda x: (p[x], x))
     if la == lp or a[la] < 3 or p[lp] < 3:
         return False
-    return a[la] >= 2 * a.get(lp, 0) + 2 and p[lp] >= 2 * p.get(la, 0) + 2
+    return 2 * a[la] >= 3 * a.get(lp, 0) + 2 and 2 * p[lp] >= 3 * p.get(la, 0) + 2
 
 
 # --- truncated -------------------------------------------------------------

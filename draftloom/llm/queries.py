@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from draftloom.llm import chunking, defects, groups, mojibake, sampling, tokens
+from draftloom.llm import chunking, defects, groups, labeller, mojibake, sampling, tokens
 from draftloom.session import table
 
 
@@ -84,3 +84,26 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p2_found": p2_found}
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    targets, pairs = table(spark, d, "targets"), table(spark, d, "pairs")
+    said = F.transform(F.filter("messages", lambda m: m["role"].isin("user", "assistant")), lambda m: m["content"])
+    a = labeller.families(targets, "target_id", F.array("text")).withColumn("rec_table", F.lit("targets"))
+    b = labeller.families(pairs, "pair_id", said).withColumn("rec_table", F.lit("pairs"))
+    return a.unionByName(b).select("rec_table", "rec_id", "family")
+
+
+def p1_clean_targets(spark: SparkSession, d: str) -> DataFrame:
+    """Every target once, with its clean text and the blocks of it."""
+    once = table(spark, d, "targets").groupBy("target_id").agg(F.max("text").alias("text"))
+    return labeller.cleaned(once, "target_id", F.lit("text"), F.col("text"))
+
+
+def p1_clean_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Every user and assistant content of the pairs, clean, once a pair and role."""
+    m = table(spark, d, "pairs").select("pair_id", F.explode("messages").alias("m")).filter(F.col("m.role") != "system")
+    return labeller.cleaned(m, "pair_id", F.col("m.role"), F.col("m.content")).dropDuplicates(["rec_id", "field"])
+
+
+QUERIES |= {"p1_found": p1_found, "p1_clean_targets": p1_clean_targets, "p1_clean_pairs": p1_clean_pairs}

@@ -16,7 +16,7 @@ import zlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from draftloom.session import checkpoint
+from draftloom.session import checkpoint, scratch
 
 #: Fixed value: white space as the pre-tokeniser counts it.
 _WS = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -94,16 +94,17 @@ def encode(docs: DataFrame, id_col: str, text_col: str, path: str = TOKENIZER, h
     """(id, ids array<int>) of every row of docs.
 
     Empty and null texts have an empty list; strings that look like special
-    tokens are ordinary text. Rows that repeat an id count once, with the
-    smallest of its texts. A null id is kept as one row.
+    tokens are ordinary text. Rows that repeat an id count once; of
+    different texts under one id the one with the smallest hash is taken. Null
+    ids are one id.
     """
+    spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("_id0"), F.col(text_col).alias("_t"))
-    src = src.groupBy("_id0").agg(F.min("_t").alias("_t"))
-    words = src.select("_id0", F.coalesce(F.regexp_extract_all("_t", F.lit(WORDS), 0), F.array().cast("array<string>")).alias("ws"))
+    words = src.select("_id0", F.coalesce(F.xxhash64("_t"), F.lit(0)).alias("h"), F.coalesce(F.regexp_extract_all("_t", F.lit(WORDS), 0), F.array().cast("array<string>")).alias("ws"))
     blocks = words.select(
-        "_id0",
+        "_id0", "h",
         F.explode(F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size("ws") - 1, F.lit(0)) / block).cast("int")), lambda b: F.struct(b.alias("b"), F.slice("ws", b * block + 1, F.lit(block)).alias("ws")))).alias("x"),
-    ).select("_id0", "x.b", "x.ws")
+    ).select("_id0", "h", "x.b", "x.ws")
 
     ranks = load_ranks(path)
     counted = src.select(F.explode(F.array_distinct(F.regexp_extract_all("_t", F.lit(WORDS), 0))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
@@ -111,22 +112,30 @@ def encode(docs: DataFrame, id_col: str, text_col: str, path: str = TOKENIZER, h
     top = coded.orderBy(F.desc("n"), "w").limit(hot).select("w", "ids").collect()
     shelf = _literal({r["w"]: r["ids"] for r in top}, "array<int>")
 
-    tried = blocks.select("_id0", "b", F.transform("ws", lambda w: F.struct(w.alias("w"), _find(shelf, w).alias("ids"))).alias("t"))
-    tried = tried.select("_id0", "b", "t", F.array_distinct(F.transform(F.filter("t", lambda x: x["ids"].isNull()), lambda x: x["w"])).alias("rest"))
+    tried = blocks.select("_id0", "h", "b", F.transform("ws", lambda w: F.struct(w.alias("w"), _find(shelf, w).alias("ids"))).alias("t"))
+    tried = tried.select("_id0", "h", "b", "t", F.array_distinct(F.transform(F.filter("t", lambda x: x["ids"].isNull()), lambda x: x["w"])).alias("rest"))
     part = tried.select(
-        "_id0", "b", "rest",
+        "_id0", "h", "b", "rest",
         F.flatten(F.transform("t", lambda x: F.coalesce(x["ids"], F.array(-F.array_position("rest", x["w"]).cast("int"))))).alias("ids"),
     )
-    if not len(top) < hot:
-        open_ = part.filter(F.size("rest") > 0).select("_id0", "b", F.posexplode("rest").alias("k", "w"))
-        got = open_.join(coded.select("w", F.col("ids").alias("wid")), "w")
-        got = got.groupBy(F.col("_id0").alias("_id1"), F.col("b").alias("b1")).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "wid"))), lambda x: x["wid"]).alias("m"))
-        full = part.select("_id0", "b", "ids").join(got, F.col("_id0").eqNullSafe(F.col("_id1")) & (F.col("b") == F.col("b1")), "left")
-        done = full.select("_id0", "b", F.when(F.col("m").isNull(), F.col("ids")).otherwise(F.flatten(F.transform("ids", lambda x: F.when(x >= 0, F.array(x)).otherwise(F.get("m", -x - 1))))).alias("ids"))
+    if len(top) == hot:  # the rest: written once, since both sides of the join come of it
+        at = scratch(spark, "coded-blocks")
+        part.write.parquet(at)
+        part = spark.read.parquet(at)
+        open_ = part.filter(F.size("rest") > 0).select("_id0", "h", "b", F.posexplode("rest").alias("k", "w"))
+        got = open_.join(coded.select("w", F.col("ids").alias("wid")), "w").select("_id0", "h", "b", "k", "wid")
+        rows = part.select("_id0", "h", "b", F.lit(-1).alias("k"), "ids").unionByName(got.select("_id0", "h", "b", "k", F.col("wid").alias("ids")))
     else:
-        done = part.select("_id0", "b", "ids")
-    whole = done.groupBy("_id0").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("b", "ids"))), lambda x: x["ids"])).alias("ids"))
-    return whole.select(F.col("_id0").alias(id_col), "ids")
+        rows = part.select("_id0", "h", "b", F.lit(-1).alias("k"), "ids")
+    # one shuffle, by id, serves both aggregations
+    filled = rows.repartition("_id0").groupBy("_id0", "h", "b").agg(
+        F.max(F.when(F.col("k") < 0, F.col("ids"))).alias("ids"),
+        F.transform(F.array_sort(F.array_distinct(F.collect_list(F.when(F.col("k") >= 0, F.struct("k", "ids"))))), lambda x: x["ids"]).alias("m"),
+    )
+    whole_ids = F.when(F.size("m") == 0, F.col("ids")).otherwise(F.flatten(F.transform("ids", lambda i: F.when(i >= 0, F.array(i)).otherwise(F.get("m", -i - 1)))))
+    done = filled.select("_id0", F.struct("h", "b", whole_ids.alias("ids")).alias("x")).groupBy("_id0").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    same = F.transform(F.filter("xs", lambda x: x["h"] == F.get("xs", 0)["h"]), lambda x: x["ids"])
+    return done.select(F.col("_id0").alias(id_col), F.flatten(same).alias("ids"))
 
 
 def decode(coded: DataFrame, ids_col: str, path: str = TOKENIZER, out: str = "decoded") -> DataFrame:
