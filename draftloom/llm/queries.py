@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from draftloom.llm import chunking, defects, groups, labeller, mojibake, sampling, tokens
+from draftloom.llm import chunking, defects, groups, labeller, mojibake, overlap, sampling, tokens
 from draftloom.session import table
 
 
@@ -107,3 +107,15 @@ def p1_clean_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p1_found": p1_found, "p1_clean_targets": p1_clean_targets, "p1_clean_pairs": p1_clean_pairs}
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return overlap.overlapping_ids(table(spark, d, "pairs"))
+
+
+def p4_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The overlaps per split and source."""
+    return overlap.overlap_counts(table(spark, d, "pairs"))
+
+
+QUERIES |= {"p4_found": p4_found, "p4_counts": p4_counts}
