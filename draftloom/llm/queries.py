@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from draftloom.llm import chunking, defects, groups, labeller, mojibake, overlap, sampling, tokens
+from draftloom.llm import chunking, defects, groups, labeller, mojibake, overlap, packing, sampling, tokens
 from draftloom.session import table
 
 
@@ -119,3 +119,15 @@ def p4_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p4_found": p4_found, "p4_counts": p4_counts}
+
+
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_documents(table(spark, d, "documents"))
+
+
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    """How full each container is."""
+    return packing.container_fill(packing.pack_documents(table(spark, d, "documents")))
+
+
+QUERIES |= {"p8_packed": p8_packed, "p8_containers": p8_containers}
