@@ -99,8 +99,8 @@ def body_chunks(body: str, max_chars: int = 1500) -> list[tuple[str, str, str]]:
     to ``max_chars``. Headings, fences and other blocks that are not prose are
     chunks of their own kind.
     """
-    if not body:
-        return []
+    if not body.strip():
+        return [("verbatim", body, "")]
     rows, fence = [], None  # (is separator, line)
     for line in body.split("\n"):
         m = re.match(r"```+|~~~+", line)
