@@ -321,7 +321,32 @@ def rewrite(text: str, leaves: list[Leaf], families: list[str]) -> list[tuple[st
             out.append(("text", ""))
         else:
             out.append(("mark", ""))
-    return out
+    return _lines_of_items(out)
+
+
+def _lines_of_items(parts: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Items and quotes with the rest of their line in them."""
+    out: list[tuple[str, str]] = []
+    held: tuple[str, str] | None = None
+    for role, s in parts:
+        if held is not None:
+            if role in ("text", "code", "formula") and not (role == "code" and "\n" in s):
+                head, nl, rest = s.partition("\n")
+                held = (held[0], held[1] + head)
+                if not nl:
+                    continue
+                out.append(held)
+                held, s = None, nl + rest
+            elif role == "mark":
+                continue
+            else:
+                out.append(held)
+                held = None
+        if role in ("item", "quote"):
+            held = (role, s)
+        else:
+            out.append((role, s))
+    return out + ([held] if held is not None else [])
 
 
 def join_parts(parts: list[tuple[str, str]]) -> str:
@@ -332,6 +357,8 @@ def join_parts(parts: list[tuple[str, str]]) -> str:
             out.append(f"\n\n{s}\n\n")
         elif role == "item":
             out.append(f"\n• {s}")
+        elif role == "quote":
+            out.append(f"\n{s}")
         elif role == "code" and "\n" in s:
             out.append("\n" + "\n".join("    " + x for x in s.split("\n")) + "\n")
         elif role == "row":
@@ -339,6 +366,7 @@ def join_parts(parts: list[tuple[str, str]]) -> str:
         elif role in ("text", "code", "formula"):
             out.append(s)
     text = re.sub(r"[ \t]+\n", "\n", "".join(out))
+    text = re.sub(r"\n\n(?=• )(?<=[^\n]\n\n)", "\n", text) if "\n• " in text and text.count("\n• ") > 1 else text
     return re.sub(r"\n{3,}", "\n\n", text).strip()
 
 

@@ -93,7 +93,7 @@ def _plausible(c: str) -> bool:
     """Whether a decoded character is one that texts hold."""
     o = ord(c)
     return (
-        c in COMMON or c in OTHER or c in _PUNCT or 0x410 <= o <= 0x44F or c in "Ёёіїєґ´¨¸¬¦¯­ "
+        0x80 <= o <= 0xFF or c in COMMON or c in OTHER or c in _PUNCT or 0x410 <= o <= 0x44F or c in "Ёёіїєґ"
         or 0x391 <= o <= 0x3CE or 0x5D0 <= o <= 0x5EA or 0x620 <= o <= 0x64A or 0xE01 <= o <= 0xE4E or 0x3040 <= o <= 0x30FF or 0x4E00 <= o <= 0x9FFF or 0xAC00 <= o <= 0xD7A3
         or 0x2010 <= o <= 0x2027 or 0x2030 <= o <= 0x203A or 0x20A0 <= o <= 0x20BF or 0x2100 <= o <= 0x22FF or 0x2460 <= o <= 0x24FF or 0x2600 <= o <= 0x27BF or 0x3000 <= o <= 0x303F or 0xFE0F == o or 0xFB00 <= o <= 0xFB06 or 0xFF01 <= o <= 0xFF5E
         or 0x1F1E6 <= o <= 0x1FAFF or 0x1D400 <= o <= 0x1D7FF or o in (0x200B, 0x200D, 0xFEFF, 0x2003) or 0x300 <= o <= 0x304
@@ -105,7 +105,7 @@ _TYPO = set("“”‘’„«»—–…•\xa0.")
 
 def _match_weight(enc: str, seen: str, ch: str, before: str) -> float:
     """Log-likelihood ratio of one UTF-8 sequence read as ``enc``."""
-    if not _plausible(ch):
+    if not _plausible(ch) or "\x80" <= ch <= "\x9f" and enc not in ("cp1252", "latin_1"):
         return 0.0
     tail = seen[1:]
     if enc in ("cp1251", "koi8_r", "cp866", "cp1252", "latin_1", "cp1250", "iso8859_2") and len(seen) == 2 and (set(tail) <= _TYPO or tail in "ёЁ"):
@@ -180,7 +180,9 @@ def word_score(word: str) -> float:
 
 @lru_cache(200_000)
 def _word_ratios(word: str) -> tuple[tuple[int, float], ...]:
-    """Of a word, the single-byte chains that could have given it, with their ratios."""
+    """Of a word, the single-byte chains that could have given it, with their ratios. Runs beyond 40 characters are no words."""
+    if len(word) > 40:
+        return ()
     here, out = word_score(word), []
     for a, b in SINGLE:
         raw = to_bytes(word, b)
@@ -283,7 +285,7 @@ def evidence(text: str) -> dict[int, float]:
                         was = raw.decode(a) if raw else ""
                     except UnicodeDecodeError:
                         continue
-                    if (k := _kana(was)) >= 4 and k * 2 > len(was) and not any(0xFF61 <= ord(c) <= 0xFF9F for c in was):
+                    if (k := _kana(was)) >= 4 and k * 2 > len(was) and len(set(was)) >= 6 and not any(0xFF61 <= ord(c) <= 0xFF9F for c in was):
                         out[INDEX[f"{a}>{b}"]] = out.get(INDEX[f"{a}>{b}"], 0.0) + 2.0 * k
     # single-byte chains: parts of the text, so that a garbled part is not outweighed by a clean one
     for part in _PART.findall(text):

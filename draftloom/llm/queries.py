@@ -12,10 +12,19 @@ from draftloom.session import table
 
 
 def p3_sample(spark: SparkSession, d: str) -> DataFrame:
-    """A tenth of the pairs of each post, at least one of each, fed batch by batch."""
+    """A tenth of the pairs of each source (in any spelling), at least one of each, fed batch by batch."""
+    return _sample(spark, d, 1)
+
+
+def p3_tenth(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the rate alone: a tenth of each source, none where the source is small."""
+    return _sample(spark, d, 0)
+
+
+def _sample(spark: SparkSession, d: str, least: int) -> DataFrame:
     rows = table(spark, d, "pairs").select("pair_id", "source", "ingest_batch")
-    out = sampling.sample_by_batches(rows, "pair_id", groups.post_key(F.col("source")), "ingest_batch")
-    return out.select(F.col("id").alias("pair_id"), F.col("stratum").alias("post"), "u", "first_batch")
+    out = sampling.sample_by_batches(rows, "pair_id", groups.post_key(F.col("source")), "ingest_batch", least=least)
+    return out.select(F.col("id").alias("pair_id"), F.col("stratum").alias("source"), "u", "threshold", "first_batch")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -43,6 +52,7 @@ def p6_targets(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_sample": p3_sample,
+    "p3_tenth": p3_tenth,
     "p5_found": p5_found,
     "p5_splits": p5_splits,
     "p6_found": p6_found,

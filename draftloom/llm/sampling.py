@@ -26,7 +26,7 @@ class PermanentSample:
     ``add`` takes rows (id, stratum): ids seen before keep their stored value
     and stratum, ids that repeat count once (smallest stratum), null ids are
     left out, a null stratum is a stratum. ``rate`` is the least threshold;
-    ``least`` raises the threshold of a small stratum so that it has that many.
+    ``least`` raises the threshold of a small stratum so that it has that many (0: the rate alone).
     """
 
     def __init__(self, spark: SparkSession, path: str, rate: float = 0.1, least: int = 1, seed: int = 42):
@@ -52,10 +52,11 @@ class PermanentSample:
         new.write.mode("overwrite").parquet(f"{self.path}/values/b{self.batch}")
         old = self.thresholds()
         self.batch += 1
-        low = self.values().groupBy("stratum").agg(F.min("u").alias("m")) if self.least == 1 else self._kth()
+        low = self.values().groupBy("stratum").agg(F.min("u" if self.least else F.lit(-1.0)).alias("m")) if self.least < 2 else self._kth()
         due = low.select("stratum", F.greatest(F.lit(self.rate), F.least(F.lit(1.0), F.col("m") + F.lit(2.0**-50))).alias("t"))
-        joined = due.join(old, due["stratum"].eqNullSafe(old["stratum"]), "full")
-        t = joined.select(F.coalesce(due["stratum"], old["stratum"]).alias("stratum"), F.greatest("t", "threshold").alias("threshold"))
+        old = old.withColumnRenamed("stratum", "s")
+        # every stratum seen before is in the values, and so in ``due``
+        t = due.join(old, F.col("stratum").eqNullSafe(F.col("s")), "left").select("stratum", F.greatest("t", "threshold").alias("threshold"))
         t.write.mode("overwrite").parquet(f"{self.path}/thresholds/b{self.batch - 1}")
 
     def _kth(self) -> DataFrame:
@@ -68,9 +69,9 @@ class PermanentSample:
         return reach.select("stratum", ((F.col("bin") + 1) / 4096.0).alias("m"))
 
     def sample(self) -> DataFrame:
-        """(id, stratum, u, first_batch) of everything selected so far."""
-        v, t = self.values(), self.thresholds()
-        return v.join(t, v["stratum"].eqNullSafe(t["stratum"])).filter(v["u"] < t["threshold"]).select(v["id"], v["stratum"], v["u"], v["first_batch"])
+        """(id, stratum, u, first_batch, threshold) of everything selected so far."""
+        v, t = self.values(), self.thresholds().withColumnRenamed("stratum", "s")
+        return v.join(t, F.col("stratum").eqNullSafe(F.col("s"))).filter(F.col("u") < F.col("threshold")).select("id", "stratum", "u", "first_batch", "threshold")
 
 
 def sample_by_batches(rows: DataFrame, id_col: str, stratum: Column, batch_col: str, rate: float = 0.1, least: int = 1, seed: int = 42) -> DataFrame:
