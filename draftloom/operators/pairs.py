@@ -122,3 +122,22 @@ def nearest_heading(paragraphs: Column, paragraph: Column) -> Column:
     at = F.array_position(paragraphs, paragraph).cast("int")
     heads = F.filter(F.slice(paragraphs, F.lit(1), F.greatest(at - 1, F.lit(0))), lambda p: F.regexp_like(p, F.lit(r"^\s{0,3}#{1,6}\s[^\n]*$")))
     return F.coalesce(F.get(heads, F.size(heads) - 1), F.lit(""))
+
+
+def union_corpora(*parts: DataFrame) -> DataFrame:
+    """All rows of several corpora; columns that one lacks are null there."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def first_n(rows: DataFrame, n: int, order: list[Column]) -> DataFrame:
+    """The first n rows in an explicit order (a top-k: no full sort reaches one task)."""
+    return rows.orderBy(*order).limit(n)
+
+
+def with_windows(generators: DataFrame, registry: DataFrame, default: int) -> DataFrame:
+    """Adds the context window of each model from a registry (model, context_window); a default where it is not listed."""
+    known = registry.groupBy("model").agg(F.max("context_window").alias("_w"))
+    return generators.join(known, "model", "left").withColumn("context_window", F.coalesce("_w", F.lit(default))).drop("_w")

@@ -85,20 +85,25 @@ def covariate_table(rows: DataFrame, id_col: str, first: list[str]) -> tuple[Dat
     probe = rows.agg(F.count(F.lit(1)).alias("_n"), *[F.struct(F.min(text(c)).alias("lo"), F.max(text(c)).alias("hi")).alias(c) for c in cols]).first()
     constants = {c: ("null" if probe[c]["lo"] == "\x00" else probe[c]["lo"]) for c in cols if probe["_n"] > 1 and probe[c]["lo"] == probe[c]["hi"]}
     keep = [c for c in first if c in cols and c not in constants]
-    return rows.select(id_col, *keep, *sorted(c for c in cols if c not in constants and c not in keep)), constants
+    shown = [id_col, *keep, *sorted(c for c in cols if c not in constants and c not in keep)]
+    return rows.select(*[F.col(f"`{c}`") for c in shown]), constants
 
 
-def flatten(schema, prefix: str = "", sep: str = ".") -> list[Column]:
+def flatten(schema, sep: str = ".") -> list[Column]:
     """Scalar leaves of nested structs as dotted columns; arrays and maps are left out."""
     from pyspark.sql.types import ArrayType, MapType, StructType
 
     out: list[Column] = []
-    for f in schema.fields:
-        path = f"{prefix}`{f.name}`"
-        if isinstance(f.dataType, StructType):
-            out += [c.alias(f"{f.name}{sep}{c._jc.toString().split(' AS ')[-1].strip('`')}") for c in flatten(f.dataType, f"{path}.", sep)]
-        elif not isinstance(f.dataType, (ArrayType, MapType)):
-            out.append(F.col(path).alias(f.name))
+
+    def walk(fields, path: list[str]) -> None:
+        for f in fields:
+            here = [*path, f.name]
+            if isinstance(f.dataType, StructType):
+                walk(f.dataType.fields, here)
+            elif not isinstance(f.dataType, (ArrayType, MapType)):
+                out.append(F.col(".".join(f"`{p}`" for p in here)).alias(sep.join(here)))
+
+    walk(schema.fields, [])
     return out
 
 

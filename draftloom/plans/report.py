@@ -30,3 +30,13 @@ def sample_text(df: DataFrame, n: int = 5, seed: int = 0) -> str:
     """A seeded sample for the terminal, one row a line."""
     rows = df.orderBy(F.rand(seed)).limit(n).collect()
     return "\n".join(" | ".join(f"{k}={str(v)[:80]}" for k, v in r.asDict().items()) for r in rows)
+
+
+def scores_report(scores: DataFrame, pairs: DataFrame, max_rows: int = 200) -> str:
+    """The scores page: means by field, score histogram, the largest falls with their texts."""
+    from draftloom.operators import scores as S
+
+    means = table_html(S.aggregate(scores, ["field"]))
+    bars = table_html(T.histogram(scores, F.col("detector.score")).orderBy("bin"))
+    rows = S.with_texts(S.paired_report(scores), pairs).orderBy(F.desc_nulls_last("delta"), "id")
+    return f"<html><body>{means}{bars}{table_html(rows, max_rows)}</body></html>"
