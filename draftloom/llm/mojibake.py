@@ -110,7 +110,9 @@ def _match_weight(enc: str, seen: str, ch: str, before: str) -> float:
     tail = seen[1:]
     if enc in ("cp1251", "koi8_r", "cp866", "cp1252", "latin_1", "cp1250", "iso8859_2") and len(seen) == 2 and (set(tail) <= _TYPO or tail in "ёЁ"):
         # a letter before a closing mark or a fixed space is common in clean text too
-        return 2.5 if enc in ("cp1252", "latin_1") and seen[0] in "ÃÂ" and not before.isupper() else 0.7
+        if enc not in ("cp1252", "latin_1") or seen[0] not in "ÃÂ" or before.isupper() or "\x80" <= ch <= "\x9f":
+            return 0.7
+        return 6.0 if tail == "\xa0" else 2.5
     if enc in ("cp1251", "koi8_r", "cp866") and all(c.lower() in RUSSIAN for c in seen):
         return 0.0
     if enc in ("cp850", "cp852") and seen.isalpha():
