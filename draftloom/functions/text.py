@@ -29,22 +29,30 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"{_BLANK[:4]}^{_BLANK[4:]}+|{_BLANK[4:]}+$", "")
 
 
+def has_text(c: Column) -> Column:
+    """Not blank: stops at the first character that is no white space."""
+    return F.regexp_like(c, F.lit("(?U)[^\\s\\x1c-\\x1f]"))
+
+
+def _let(value: Column, f) -> Column:
+    """f(value) with the value computed once, also where no common subexpressions are found."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def lines(c: Column) -> Column:
     """``splitlines``; no empty last line after a final break."""
-    parts = F.split(c, LINE_BREAK)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+    return _let(F.split(c, LINE_BREAK), lambda parts: F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts))
 
 
 def paragraphs(c: Column) -> Column:
     """Maximal runs of non-blank lines, joined by LF; a line of white space only is blank."""
-    ls = F.transform(lines(c), lambda x: F.when(strip(x) == "", F.lit("")).otherwise(x))
+    ls = F.transform(lines(c), lambda x: F.when(has_text(x), x).otherwise(F.lit("")))
     runs = F.split(F.array_join(ls, "\n"), "\\n(?:\\n)+")
-    trimmed = F.transform(runs, lambda x: F.regexp_replace(x, "^\\n+|\\n+$", ""))
-    return F.filter(trimmed, lambda x: strip(x) != "")
+    return F.filter(F.transform(runs, lambda x: F.btrim(x, F.lit("\n"))), has_text)
 
 
 def nonblank_lines(c: Column) -> Column:
-    return F.filter(lines(c), lambda x: strip(x) != "")
+    return F.filter(lines(c), has_text)
 
 
 def header_key(c: Column) -> Column:
@@ -72,34 +80,43 @@ def prose_residual(c: Column) -> Column:
 
 def is_link_list(c: Column, least: float = 0.2) -> Column:
     """Mostly links; an empty chunk counts as one."""
-    s = strip(c)
+    return _let(strip(c), lambda s: _mostly_links(s, least))
+
+
+def _mostly_links(s: Column, least: float = 0.2) -> Column:
     return F.when(s == "", F.lit(True)).otherwise(prose_residual(s) / F.length(s) < least)
 
 
+def _all_lines(c: Column, pattern: str) -> Column:
+    """Some lines, and each of those that are not blank matches; most texts fail at their first line."""
+    return _let(nonblank_lines(c), lambda ls: (F.size(ls) > 0) & F.forall(ls, lambda x: F.regexp_like(x, F.lit(pattern))))
+
+
 def is_table(c: Column) -> Column:
-    ls = nonblank_lines(c)
-    return (F.size(ls) > 0) & F.forall(ls, lambda x: F.startswith(F.regexp_replace(x, f"^{_BLANK[4:]}+", ""), F.lit("|")))
+    return _all_lines(c, f"(?U)^{_BLANK[4:]}*\\|")
 
 
 def is_list(c: Column) -> Column:
-    ls = nonblank_lines(c)
-    return (F.size(ls) > 0) & F.forall(ls, lambda x: F.regexp_like(x, F.lit(LIST_ITEM)))
+    return _all_lines(c, LIST_ITEM)
 
 
 def keep_chunk(c: Column, min_chars: int = 80, max_chars: int | None = 8000, markers: list[str] | None = None, drop_links: bool = True, drop_lists: bool = False) -> Column:
     """The hygiene gate of passages; false for null."""
-    s = strip(c)
-    ok = F.length(s) >= min_chars
-    if max_chars is not None:
-        ok = ok & (F.length(s) <= max_chars)
-    for m in markers or []:
-        ok = ok & ~F.contains(c, F.lit(m))
-    ok = ok & ~is_table(s)
-    if drop_lists:
-        ok = ok & ~is_list(s)
-    if drop_links:
-        ok = ok & ~is_link_list(s)
-    return F.coalesce(ok, F.lit(False))
+
+    def gate(s: Column) -> Column:
+        ok = F.length(s) >= min_chars
+        if max_chars is not None:
+            ok = ok & (F.length(s) <= max_chars)
+        for m in markers or []:
+            ok = ok & ~F.contains(c, F.lit(m))
+        ok = ok & ~is_table(s)
+        if drop_lists:
+            ok = ok & ~is_list(s)
+        if drop_links:
+            ok = ok & ~_mostly_links(s)
+        return ok
+
+    return F.coalesce(_let(strip(c), gate), F.lit(False))
 
 
 def pack(parts: Column, budget: int) -> Column:
