@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from draftloom.functions import blocks, keys, text
 from draftloom.operators import corpus, model, pairs as P, scores as S, splits, targets as T
-from draftloom.session import table
+from draftloom.session import spread, table
 from draftloom.sources import jsonl, posts as posts_source
 from draftloom.streaming import streams
 
@@ -128,7 +128,7 @@ _SCORED_SQL = f"(SELECT vec_id, vec_id // 2 AS pair_row, label % 2 AS label, lab
 )
 def role_chunks(spark: SparkSession, d: str) -> DataFrame:
     """Flagship: paragraphs of all documents, gated, by role of their source."""
-    c = table(spark, d, "documents").filter("source is not null").select("source", F.explode(text.paragraphs(F.col("text"))).alias("p")).filter(text.keep_chunk(F.col("p")))
+    c = spread(table(spark, d, "documents").filter("source is not null").select("source", "text")).select("source", F.explode(text.paragraphs(F.col("text"))).alias("p")).filter(text.keep_chunk(F.col("p")))
     return c.groupBy(splits.hash_role(F.col("source"), ROLE_SALT, DETECTOR_FRAC).alias("role")).agg(F.countDistinct("source").alias("posts"), F.count(F.lit(1)).alias("chunks"), F.sum(F.length(text.strip(F.col("p")))).alias("chars"))
 
 
@@ -179,13 +179,13 @@ def truncate_at_header(spark: SparkSession, d: str) -> DataFrame:
 @query(f"SELECT DISTINCT target_id, {_keep('text')} AS keep, {_table('text')} AS is_table, {_list('text')} AS is_list, {_link_list('text')} AS is_links, {_residual('text')} AS residual FROM targets WHERE text IS NOT NULL")
 def chunk_gate(spark: SparkSession, d: str) -> DataFrame:
     c = F.col("text")
-    t = table(spark, d, "targets").filter("text is not null")
+    t = spread(table(spark, d, "targets").filter("text is not null").select("target_id", "text"))
     return t.select("target_id", text.keep_chunk(c).alias("keep"), text.is_table(c).alias("is_table"), text.is_list(c).alias("is_list"), text.is_link_list(c).alias("is_links"), text.prose_residual(c).cast("bigint").alias("residual")).distinct()
 
 
 @query()
 def pack_paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "documents").select("doc_id", F.posexplode(text.pack(text.paragraphs(F.col("text")), 1500)).alias("pos", "passage"))
+    t = spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.posexplode(text.pack(text.paragraphs(F.col("text")), 1500)).alias("pos", "passage"))
     return t
 
 
@@ -588,7 +588,7 @@ def _fold_spaces(t: str, n: int) -> list[str]:
 @query()
 def rewrite_round(spark: SparkSession, d: str) -> DataFrame:
     """Documents rewritten chunk by chunk with the anchor guard and do-no-harm."""
-    return corpus.rewrite(table(spark, d, "documents").select("doc_id", "text"), _fold_spaces, lambda t: float(len(t)))
+    return corpus.rewrite(spread(table(spark, d, "documents").select("doc_id", "text")), _fold_spaces, lambda t: float(len(t)))
 
 
 @query()

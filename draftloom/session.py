@@ -57,3 +57,9 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores, for CPU-heavy steps over an input of fewer splits than cores; others stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
