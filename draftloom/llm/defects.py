@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from draftloom.session import spread
+
 WORD = re.compile(r"[^\W_]+")
 
 # --- empty -----------------------------------------------------------------
@@ -355,7 +357,7 @@ def flag_defects(rows: DataFrame, table_name: str, id_col: str, prompt: Column,
             yield pd.DataFrame(got, columns=["rec_id", "defect"])
 
     src = rows.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("i"), prompt.alias("p"), answer.alias("a"), context.alias("c"))
-    out = src.mapInPandas(look, "rec_id bigint, defect string")
+    out = spread(src).mapInPandas(look, "rec_id bigint, defect string")
     return out.groupBy("rec_id").agg(F.min("defect").alias("defect")).select(F.lit(table_name).alias("rec_table"), "rec_id", "defect")
 
 

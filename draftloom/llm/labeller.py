@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from draftloom.llm import markup
 from draftloom.llm.markup import FAMILIES, KIND_NO, KINDS, Leaf
+from draftloom.session import spread
 
 SHAPES, WORDS_, PATHS = 12, 512, 64
 SIZE = {"kind": 12, "path": 6, "word": 8}
@@ -377,7 +378,7 @@ def families(rows: DataFrame, id_col: str, texts: Column, net: Labeller | None =
             yield pd.DataFrame(sorted(out), columns=["rec_id", "family"])
 
     src = rows.select(F.col(id_col).cast("bigint").alias("i"), texts.alias("ts")).filter("i is not null and ts is not null")
-    return src.mapInPandas(look, "rec_id bigint, family string").distinct()
+    return spread(src).mapInPandas(look, "rec_id bigint, family string").distinct()
 
 
 def cleaned(rows: DataFrame, id_col: str, field: Column, text: Column, net: Labeller | None = None) -> DataFrame:

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from draftloom.session import checkpoint
+from draftloom.session import checkpoint, spread
 
 #: UTF-8 bytes read as one of these. cp1252 takes the bytes it leaves open as C1 controls.
 UTF8_READ_AS = ["cp1252", "latin_1", "mac_roman", "cp437", "cp850", "cp852", "cp1251", "cp1250", "cp866", "koi8_r", "iso8859_2"]
@@ -355,7 +355,7 @@ def gather(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> Data
             yield pd.DataFrame(rows, columns=["id", "source", "ratios"])
 
     src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("t"))
-    return src.filter(F.col("t").rlike(r"[^\x00-\x7f]")).mapInPandas(look, schema).withColumn("field", F.lit(text_col))
+    return spread(src.filter(F.col("t").rlike(r"[^\x00-\x7f]"))).mapInPandas(look, schema).withColumn("field", F.lit(text_col))
 
 
 def estimate(docs: DataFrame, found: DataFrame, source_col: str, rounds: int = 5, strength: float = 20.0, base: float = 0.01) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from draftloom.llm.defects import turn, without_heading
 from draftloom.llm.markup import bare
-from draftloom.session import scratch
+from draftloom.session import scratch, spread
 
 SHINGLE, BANDS, ROWS = 3, 22, 3
 #: Bits of the 64 in which two sketches may differ: texts of Jaccard 0.5 differ in 16 on average, unrelated ones in 31.
@@ -130,7 +130,7 @@ def _bodies(rows: DataFrame, id_col: str, messages: Column, split: Column, conte
 
     src = rows.filter(split.isin("train", "val", "eval") & F.col(id_col).isNotNull())
     src = src.select(F.col(id_col).cast("bigint").alias("i"), (split == "train").alias("train"), turn(messages, "user").alias("u"), turn(messages, "assistant").alias("a"), context.alias("c"))
-    return src.mapInPandas(look, schema)
+    return spread(src).mapInPandas(look, schema)
 
 
 def overlaps(rows: DataFrame, id_col: str = "pair_id") -> DataFrame:

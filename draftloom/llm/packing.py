@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from draftloom.llm.tokens import TOKENIZER
+from draftloom.session import checkpoint, spread
 
 CAPACITY = 4096
 #: Buckets that the ranking of one size is split into.
@@ -46,7 +47,7 @@ def sized(docs: DataFrame, id_col: str, text_col: str, path: str = TOKENIZER) ->
 
     kind = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).filter("id is not null")
-    return src.mapInPandas(count, f"id {kind}, tokens bigint").groupBy("id").agg(F.max("tokens").alias("tokens"))
+    return spread(src).mapInPandas(count, f"id {kind}, tokens bigint").groupBy("id").agg(F.max("tokens").alias("tokens"))
 
 
 class Stock:
@@ -207,8 +208,6 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     packed like other texts. Texts of no tokens (null, empty) take no space
     and lie in container 0. Ids that repeat count once, null ids are left out.
     """
-    from draftloom.session import checkpoint
-
     spark = docs.sparkSession
     items = checkpoint(sized(docs, id_col, text_col, path))
     cap = F.lit(capacity)

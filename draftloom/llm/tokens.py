@@ -16,7 +16,7 @@ import zlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from draftloom.session import checkpoint, scratch
+from draftloom.session import checkpoint, scratch, spread
 
 #: Fixed value: white space as the pre-tokeniser counts it.
 _WS = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -99,7 +99,7 @@ def encode(docs: DataFrame, id_col: str, text_col: str, path: str = TOKENIZER, h
     ids are one id.
     """
     spark = docs.sparkSession
-    src = docs.select(F.col(id_col).alias("_id0"), F.col(text_col).alias("_t"))
+    src = spread(docs.select(F.col(id_col).alias("_id0"), F.col(text_col).alias("_t")))
     words = src.select("_id0", F.coalesce(F.xxhash64("_t"), F.lit(0)).alias("h"), F.coalesce(F.regexp_extract_all("_t", F.lit(WORDS), 0), F.array().cast("array<string>")).alias("ws"))
     blocks = words.select(
         "_id0", "h",
