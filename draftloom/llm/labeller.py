@@ -316,7 +316,7 @@ def training_rows(n: int, seed: int) -> list[tuple[tuple[np.ndarray, np.ndarray]
     return rows
 
 
-def train(texts: int = 3200, epochs: int = 6, batch: int = 32, rate: float = 0.02, seed: int = 7) -> Labeller:
+def train(texts: int = 2400, epochs: int = 5, batch: int = 32, rate: float = 0.02, seed: int = 7) -> Labeller:
     """Adam on ``texts`` generated texts (at most so many; the bound of the sample). The same arguments give the same weights."""
     rows = training_rows(texts, seed)
     rows.sort(key=lambda r: len(r[1]))
