@@ -37,7 +37,7 @@ def _char_cuts(text: str, start: int, end: int, size: int) -> Iterator[int]:
         if cut <= start + 1:
             cut = at  # nothing but marks: any cut is as good
         yield cut
-        at = cut + size
+        start, at = cut, cut + size
 
 
 def atoms(text: str, start: int, end: int, size: int, level: int = 0) -> list[int]:

@@ -97,6 +97,12 @@ def test_pieces(parts, limit, overlap_):
     assert all(b[0] == a[1] - overlap_ and b[1] > a[1] for a, b in zip(got, got[1:]))
 
 
+def test_long_runs_of_marks_end():
+    text = "a" + "\u0302" * 200 + "b" * 30
+    got = chunking.pieces(text, 20, 5)
+    assert got[-1][1] == len(text) and all(e - s <= 20 for s, e in got)
+
+
 def test_natural_cuts():
     text = ("One two three. " * 20 + "\n\n") * 4
     for s, e in chunking.pieces(text, 400, 20)[:-1]:
