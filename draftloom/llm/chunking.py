@@ -55,7 +55,7 @@ def atoms(text: str, start: int, end: int, size: int, level: int = 0) -> list[in
 
 
 def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int]]:
-    """(start, end) of the pieces; each later start is the last end less the overlap.
+    """(start, end) of the pieces; each later start is the last end less the overlap (0 at least).
 
     Sections and paragraphs are preferred: the pack ends at the strongest
     boundary that keeps it at least half full, else at the last atom that fits.
