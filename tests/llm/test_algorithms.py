@@ -165,6 +165,25 @@ def test_overlaps_against_all_pairs(spark):
     assert overlap.overlapping_ids(df.filter("false")).count() == 0
 
 
+def test_overlaps_with_a_quarter_of_the_words_edited(spark):
+    r = random.Random(11)
+    vocab = [f"w{i}" for i in range(3000)]
+    rows, percent = [], {}
+    for i in range(1200):
+        t = [r.choice(vocab) for _ in range(r.choice([32, 60, 100, 160, 240]))]
+        u, rate = list(t), (15, 20, 25)[i % 3]
+        for k in r.sample(range(len(t)), len(t) * rate // 100):
+            u[k] = r.choice(vocab)
+        percent[i] = rate
+        for j, (words, split) in enumerate(((t, "train"), (u, "val"))):
+            rows.append((i + 10_000 * j, [("user", "few words"), ("assistant", " ".join(words))], None, split))
+    df = spark.createDataFrame(rows, "pair_id bigint, messages array<struct<role:string,content:string>>, context string, split string")
+    got = {a for a, b in overlap.overlapping_ids(df).collect() if b == a + 10_000}
+    recall = {p: sum(i in got for i in percent if percent[i] == p) / 400 for p in (15, 20, 25)}
+    print(recall)
+    assert min(recall.values()) >= 0.95, recall
+
+
 # --- tokens -----------------------------------------------------------------
 TEXTS = ["Hello world", "", None, "naïve café — “x”", " \n\n  a\t b ", "<|endoftext|> it's 12345", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa" * 6, "日本語のテキスト、です。", "👩‍👩‍👧 ẞ \xa0x\x85y\x1cz", "we'll I'VE  don't", "Zxqv" * 9]
 
