@@ -156,11 +156,11 @@ def _bodies(rows: DataFrame, id_col: str, messages: Column, split: Column, conte
             upper = odd[:, CELLS // 128 :]
             folded = odd[:, : CELLS // 128] ^ upper
             h = np.array([xxhash.xxh64_intdigest("\x00".join(t), 11) for t in texts], np.uint64).view(np.int64)
-            ids, tr, side, k = zip(*rows)
+            ids, tr, sides, k = zip(*rows)
             k = np.array(k)
             first = np.zeros(len(k), bool)
-            first[np.unique(k * 2 + np.array(tr), return_index=True)[1]] = True  # keys of a text once a batch and split
-            yield pd.DataFrame({"id": ids, "train": tr, "side": side, "h": h[k], "n": [len(texts[x]) for x in k], "keys": [keys[x] if f else None for x, f in zip(k, first)], "folded": [folded[x] if f else None for x, f in zip(k, first)], "upper": [upper[x] if f and len(texts[x]) > SHORT else None for x, f in zip(k, first)]})
+            first[np.unique((k * 2 + np.array(tr)) * 2 + np.array(sides), return_index=True)[1]] = True  # keys of a text once a batch, split and side
+            yield pd.DataFrame({"id": ids, "train": tr, "side": sides, "h": h[k], "n": [len(texts[x]) for x in k], "keys": [keys[x] if f else None for x, f in zip(k, first)], "folded": [folded[x] if f else None for x, f in zip(k, first)], "upper": [upper[x] if f and len(texts[x]) > SHORT else None for x, f in zip(k, first)]})
 
     src = rows.filter(split.isin("train", "val", "eval") & F.col(id_col).isNotNull())
     src = src.select(F.col(id_col).cast("bigint").alias("i"), (split == "train").alias("train"), turn(messages, "user").alias("u"), turn(messages, "assistant").alias("a"), context.alias("c"))

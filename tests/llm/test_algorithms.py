@@ -165,6 +165,15 @@ def test_overlaps_against_all_pairs(spark):
     assert overlap.overlapping_ids(df.filter("false")).count() == 0
 
 
+def test_overlaps_of_a_text_in_both_roles(spark, monkeypatch):
+    monkeypatch.setattr(overlap, "spread", lambda rows: rows)  # all in one batch
+    r = random.Random(2)
+    a, b = (" ".join(r.choice("abcdefghijklmnop") * 3 for _ in range(40)) for _ in range(2))
+    rows = [(1, [("user", a), ("assistant", "few words")], None, "train"), (2, [("user", b), ("assistant", a)], None, "train"), (3, [("user", "few words"), ("assistant", a)], None, "val")]
+    df = spark.createDataFrame(rows, "pair_id bigint, messages array<struct<role:string,content:string>>, context string, split string").coalesce(1)
+    assert {tuple(x) for x in overlap.overlapping_ids(df).collect()} == {(2, 3)}
+
+
 def test_overlaps_with_a_quarter_of_the_words_edited(spark):
     r = random.Random(11)
     vocab = [f"w{i}" for i in range(3000)]
