@@ -279,33 +279,75 @@ _BLOCK_END = re.compile(
 )
 _END = re.compile(r"[.!?…。！？](?:[\"'”’»)\]}*_~`」』]|\s*\[[^\]\s]*\](?:\([^)]*\)|\{[^}]*\})?|\^\[[^\]]*\]|\{\{[^}]*\}\}|~?\\\w+\{[^}]*\}|</?\w[^>]*>|&\w+;|<!--.*?-->)*\s*$")
 _MARK_END = re.compile(r"(?:</\w+\s*>|/>|-->|\\\)|\\\]|\\end\{\w+\*?\}|\]\([^)\s]*(?:\s\"[^\"]*\")?\)|`|\}\}|\]\])\s*$")
-_FENCES = re.compile(r"(?m)^[ ]{0,3}(```+|~~~+)")
+#: What opens and closes blocks, in the whole text; a run of code in a line is passed over.
+_BLOCKS = re.compile(r"(?m)^[ ]{0,3}(?P<fence>```+|~~~+)|`[^`\n]+`|\\begin\{(?P<begin>[^}\n]*)\}?|\\end\{(?P<end>[^}\n]*)\}?|<(?P<open>pre|script|style|table)\b|</(?P<close>pre|script|style|table)\b|^(?P<wiki>\{\|)|^(?P<ikiw>\|\})|(?P<math>\$\$)")
+_INLINE = re.compile(r"`[^`\n]+`|\$[^$\n]+\$|\\[()\[\]{}]|[:;=]-?[()\[\]]|(?m:^\s*\(?\w{1,3}\))|[\[(]\s*-?[\d.]+\s*,\s*-?[\d.]+\s*[\])]|(?<![\w*])\*\*(?=[\w'“(])|(?<=[^\s*])\*\*(?!\*)|[()\[\]{}“”„]")
+_CLOSES = {")": "(", "]": "[", "}": "{"}
+
+
+def open_blocks(text: str) -> list[str]:
+    """The stack of fences, environments, tables, code and displayed formulas left open; a stray closer closes nothing."""
+    stack: list[str] = []
+    for m in _BLOCKS.finditer(text):
+        kind, v = m.lastgroup, m.group(m.lastgroup) if m.lastgroup else ""
+        if kind is None:
+            continue
+        within = stack[-1] if stack else ""
+        if within[:1] in "`~" and within:
+            if kind == "fence" and v[0] == within[0]:
+                stack.pop()
+            continue
+        name = {"fence": v[:1], "begin": "\\" + v, "end": "\\" + v, "open": "<" + v, "close": "<" + v, "wiki": "{|", "ikiw": "{|", "math": "$$"}[kind]
+        if within in ("\\verbatim", "\\lstlisting", "<pre", "<script", "<style") and (kind not in ("end", "close") or name != within):
+            continue
+        if kind in ("end", "close", "ikiw") or kind == "math" and "$$" in stack:
+            if name in stack:
+                while stack.pop() != name:
+                    pass
+        else:
+            stack.append(name)
+    return stack
+
+
+def open_inline(paragraph: str) -> list[str]:
+    """The stack of brackets, quotes and strong emphasis left open in a paragraph, code and formulas apart."""
+    stack: list[str] = []
+    for m in _INLINE.finditer(paragraph):
+        c = m.group()
+        if c == "**" and "**" in stack:
+            del stack[stack.index("**") :]
+        elif c == "**" and paragraph[m.end() : m.end() + 1].strip() and not paragraph[: m.start()][-1:].strip():
+            stack.append(c)
+        elif c in ("(", "[", "{", "“", "„"):
+            if c == "“" and "„" in stack:  # closes a German quotation
+                del stack[stack.index("„") :]
+            else:
+                stack.append(c)
+        elif c == "”" or c in _CLOSES:
+            of = _CLOSES.get(c, "“")
+            if of in stack:
+                while stack.pop() != of:
+                    pass
+    return stack
 
 
 def is_truncated(answer: str) -> bool:
     """The last sentence is not complete, or a fence, formula, environment or table is left open."""
     text = answer.rstrip().rstrip(_INVISIBLE).rstrip()
-    fence = None
-    for m in _FENCES.finditer(text):
-        if fence is None:
-            fence = m.group(1)[0]
-        elif m.group(1)[0] == fence:
-            fence = None
-    if fence is not None or text.count("$$") % 2:
+    if open_blocks(text):
         return True
-    for a, b in ((r"\begin{", r"\end{"), ("<pre", "</pre"), ("<script", "</script"), ("<style", "</style"), ("<table", "</table"), ("\n{|", "\n|}")):
-        if text.count(a) > text.count(b):
-            return True
     last = re.split(r"\r\n|\n|\r", text)[-1]
     if len(WORD.findall(text)) <= 3 and not re.search(r"[,;:(\[“—-]\s*$", text):
         return False
     stripped = last.strip()
+    # a bracket or quotation opened in the last paragraph and never closed
+    left = open_inline(re.split(r"(?:\r\n|\n|\r){2,}", text)[-1])
+    if any(c in ("(", "[", "{", "**") for c in left):
+        return True
     if _BLOCK_END.match(last) and not re.search(r"[,;(“]$|\s[—–-]$", stripped):
         return False
     if _END.search(stripped) or _MARK_END.search(stripped):
-        # a bracket or quotation opened in the last paragraph and never closed
-        para = re.split(r"(?:\r\n|\n|\r){2,}", text)[-1]
-        return para.count("“") > para.count("”") and not re.search(r"[.!?…]\s*$", stripped)
+        return bool(left) and not re.search(r"[.!?…]\s*$", stripped)
     return not _short_line_in_list(text, stripped)
 
 

@@ -176,3 +176,19 @@ def test_garbled_table(spark):
     assert set(got) == {i for i in range(0, 30, 3)} | {102}
     assert got[0].text == "La note rédigée à Lome" and got[0].restored and not got[102].restored
     assert mojibake.garbled(df.filter("false")).count() == 0
+
+
+LEFT_OPEN = [
+    "It holds in every fold. We saw this as shown before (see Fig.", "The run went on. Then it **stopped for good.", "One.\n\n\\begin{align}\na\n\\end{align}\n\nTwo.\n\n\\end{align}\n\\begin{align}\nb + c = d and on.", "The notes say it plainly [as in the second fold.",
+]
+CLOSED = ["It holds (see Fig. 2).", "It is **so** here, and 2 ** 3 is eight.", "It lies in [0, 1) for all of them.", "a) first of all it holds.", "We call `f(x` here and it fails.", "Also „so“ it is said, in “quotes” now.", "```\nx = (1\n```"]
+
+
+@pytest.mark.parametrize("text", LEFT_OPEN)
+def test_left_open_is_truncated(text):
+    assert defects.is_truncated(text)
+
+
+@pytest.mark.parametrize("text", CLOSED)
+def test_closed_is_not_truncated(text):
+    assert not defects.is_truncated(text)
