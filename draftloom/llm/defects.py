@@ -1,8 +1,9 @@
 """Broken prompt and response pairs: empty, truncated, refused, copied, in another language.
 
 Method: a suffix automaton of the prompt's words is traversed by the answer to
-measure how much of it is copied; refusal phrases are found by an automaton
-over tokens; a stack of delimiters and the kind of the last line tell whether
+measure how much of it is copied; refusals are found by patterns and a table
+of phrases over tokens in all sentences, and told from prose by what the other
+sentences say; a stack of delimiters and the kind of the last line tell whether
 the last sentence ended; stop words vote for the language of each side.
 """
 
@@ -104,18 +105,39 @@ def _declines(tokens: list[str]) -> bool:
     return False
 
 
-def is_refusal(answer: str) -> bool:
-    """A short answer whose own words, quotations apart, decline the task."""
-    if len(answer) > 900:
-        return False
+#: What a refusal says around the declining itself (regret, reasons, offers, the reader).
+_AROUND = re.compile(
+    r"(?i)\b(?:sorry|apolog\w+|regret|unfortunately|afraid|you|your|yours|request\w*|instead|happy to|glad to|let me know|feel free|polic(?:y|ies)|guidelines|as an ai|assistant|thank\w*|understand|appreciate|reasons?"
+    r"|lo siento|disculp\w+|lamento|usted|puedes?|petici[oó]n|solicitud|gracias|desculp\w+|pedido|você|obrigad\w|désolé\w*|vous|votre|merci|demande|leider|sie|ihre\w*|ihnen|gerne|danke|anfrage|bedaure|przepraszam|niestety|prośb\w+|dziękuję|helaas|verzoek|извините|сожалени\w+|вы|вам|ваш\w*|запрос\w*|спасибо)\b|申し訳|恐れ入り|ください|ご了承|抱歉|对不起|請|请|죄송"
+)
+
+
+def _covered(prompt: str, answer: str) -> float:
+    """The share of the prompt's longer words that occur in the answer."""
+    of = {w for w in WORD.findall(prompt.casefold()) if len(w) > 3}
+    return len(of.intersection(WORD.findall(answer.casefold()))) / len(of) if of else 0.0
+
+
+def is_refusal(answer: str, prompt: str | None = None) -> bool:
+    """An answer whose own words, quotations apart, decline the task.
+
+    One of up to four sentences that begins by declining is one. In any other
+    at least half of the sentences must decline or say what goes with it, and
+    little of the prompt may be in it: else it is prose.
+    """
     plain = _QUOTED.sub(" ", answer.replace("’", "'").replace("`", ""))
     sentences = [s for s in _SENT.findall(plain) if WORD.search(s)]
-    if not sentences or len(plain) > 700:
+
+    def declines(s: str) -> bool:
+        return bool(WHOLE.search(s)) or _declines(_TOK.findall(s.lower()))
+
+    if len(sentences) <= 4 and any(map(declines, sentences[:2])):
+        return True
+    around = [bool(_AROUND.search(s)) for s in sentences]
+    if 4 * sum(around) < len(sentences) or prompt is not None and _covered(prompt, plain) > 0.35:
         return False
-    for s in sentences[:2]:
-        if WHOLE.search(s) or _declines(_TOK.findall(s.lower())):
-            return len(sentences) <= 4
-    return False
+    said = [declines(s) for s in sentences]
+    return any(said) and 2 * sum(a or b for a, b in zip(around, said)) >= len(sentences)
 
 
 # --- copy ------------------------------------------------------------------
@@ -373,7 +395,7 @@ def defect(prompt: str | None, answer: str | None) -> str | None:
     """The defect of an answer, or None. Of several the first of: empty, refusal, copy, language, truncated."""
     if is_empty(answer):
         return "empty"
-    if is_refusal(answer):
+    if is_refusal(answer, prompt):
         return "refusal"
     if prompt is not None and not is_empty(prompt):
         if is_copy(prompt, answer):

@@ -192,3 +192,14 @@ def test_left_open_is_truncated(text):
 @pytest.mark.parametrize("text", CLOSED)
 def test_closed_is_not_truncated(text):
     assert not defects.is_truncated(text)
+
+
+LONG = "Thank you for sharing your passage with me. I have read your request with care and I understand why you want it. Unfortunately, I can't help with rewriting this passage. The reasons are in the guidelines that I follow. If you like, I would be happy to look at another text instead. Please let me know what you would prefer."
+LATE = "I'm sorry about this. I apologize for the trouble. I can't help with rewriting this passage."
+PROSE = "The fold ran for nine hours. I cannot help but think of the seeds. The trace was cold and nobody had saved it. We wrote the numbers down by hand. Then the second fold began. It went better than the first."
+
+
+def test_refusals_of_any_length():
+    prompt = "The second fold kept every trace of the first, and nobody wondered about the numbers."
+    assert all(defects.defect(prompt, x) == "refusal" for x in (LONG, LATE, LONG + " " + "I am sorry that you have to hear this from me. " * 20))
+    assert defects.defect(prompt, PROSE) is None and defects.defect(PROSE, PROSE[::1] + " So it was.") != "refusal"
