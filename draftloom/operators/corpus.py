@@ -95,22 +95,27 @@ def rewrite_pending(pairs: DataFrame, done: DataFrame, styler: Styler, scorer: C
 def session_plan(items: DataFrame, budget: int, turns: int, order: list[str]) -> DataFrame:
     """(arm, session, turn, item): items of an arm in order, a new session when turns or the token budget are used up.
 
-    A greedy fold whose budget resets. An arm of more than 4,096 items is cut
-    by hash into blocks of about that many, so that no list holds a hot arm;
-    a block is folded inside its row, in order, and sessions are numbered
-    within their block. Input: arm, item, tokens.
+    A greedy fold whose budget resets, over the sorted items of an arm as a
+    stream: an arm of any size has one plan, and no list holds it. An arm is
+    one task. Missing tokens count as none. Input: arm, item, tokens.
     """
-    w = items.join(items.groupBy("arm").agg(F.count(F.lit(1)).alias("_n")), "arm").withColumn("_block", F.pmod(F.xxhash64("item"), F.greatest(F.lit(1), F.ceil(F.col("_n") / 4096))))
-    one = w.groupBy("arm", "_block").agg(F.array_sort(F.collect_list(F.struct(*[F.col(o) for o in order], F.col("item").alias("_item"), F.col("tokens").cast("bigint").alias("_tokens")))).alias("xs"))
-    kind = "array<struct<session:int,turn:int,item:string>>"
-    zero = F.struct(F.array().cast(kind).alias("out"), F.lit(0).alias("session"), F.lit(0).alias("turn"), F.lit(0).cast("bigint").alias("used"))
-
-    def step(s: Column, x: Column) -> Column:
-        fresh = (s["turn"] > 0) & ((s["turn"] >= turns) | (s["used"] + x["_tokens"] > budget))
-        session, turn = F.when(fresh, s["session"] + 1).otherwise(s["session"]), F.when(fresh, F.lit(0)).otherwise(s["turn"])
-        used = F.when(fresh, F.lit(0).cast("bigint")).otherwise(s["used"])
-        row = F.struct(session.alias("session"), turn.alias("turn"), x["_item"].cast("string").alias("item"))
-        return F.struct(F.concat(s["out"], F.array(row)).alias("out"), session.alias("session"), (turn + 1).alias("turn"), (used + x["_tokens"]).alias("used"))
-
-    folded = one.select("arm", "_block", F.aggregate("xs", zero, step, lambda s: s["out"]).alias("o"))
-    return folded.select("arm", F.col("_block").cast("int").alias("block"), F.inline("o"))
+    rows = items.select("arm", *[F.col(o).alias(f"_o{k}") for k, o in enumerate(order)], "item", F.coalesce(F.col("tokens").cast("bigint"), F.lit(0).cast("bigint")).alias("tokens"))
+    keys = [f"_o{k}" for k in range(len(order))]
+    # the whole key is sorted before the item is made a string
+    ordered = rows.repartition("arm").sortWithinPartitions("arm", *keys, "item", "tokens").select(F.col("arm"), F.col("item").cast("string").alias("item"), "tokens")
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        arm, session, turn, used = object(), 0, 0, 0  # no arm yet
+        for b in batches:
+            out = []
+            for a, item, n in zip(b["arm"], b["item"], b["tokens"]):
+                if a != arm:
+                    arm, session, turn, used = a, 0, 0, 0
+                elif turn >= turns or used + n > budget:
+                    session, turn, used = session + 1, 0, 0
+                out.append((a, session, turn, item))
+                turn, used = turn + 1, used + n
+            yield pd.DataFrame(out, columns=["arm", "session", "turn", "item"])
+
+    kind = items.schema["arm"].dataType.simpleString()
+    return ordered.mapInPandas(fold, f"arm {kind}, session int, turn int, item string")

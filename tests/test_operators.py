@@ -154,6 +154,19 @@ def test_sessions(spark):
     assert got == {0: (0, 0), 1: (0, 1), 2: (1, 0), 3: (1, 1), 4: (2, 0), 5: (2, 1), 6: (3, 0)}
 
 
+def test_sessions_of_a_large_arm_are_in_order(spark):
+    n = 9_001
+    rows = [("a", i, i * 7 % 11) for i in range(n)] + [("b", i, i % 5) for i in range(30)]
+    got = {(r.arm, int(r.item)): (r.session, r.turn) for r in corpus.session_plan(spark.createDataFrame(rows, "arm string, item int, tokens int").repartition(5), 25, 6, ["item"]).collect()}
+    want, last, at = {}, None, (0, 0, 0)
+    for arm, i, t in rows:
+        session, turn, used = at if arm == last else (0, 0, 0)
+        if turn and (turn >= 6 or used + t > 25):
+            session, turn, used = session + 1, 0, 0
+        want[arm, i], last, at = (session, turn), arm, (session, turn + 1, used + t)
+    assert got == want
+
+
 def test_arms(spark):
     a = splits.arms(spark, ["m", "m", "n"], ["s"], ["off", "on"])
     assert [tuple(r) for r in a.orderBy("arm_idx").collect()] == [(0, "s", "off", "m"), (1, "s", "off", "n"), (2, "s", "on", "m"), (3, "s", "on", "n")]
