@@ -37,6 +37,18 @@ def training_corpus(pairs: DataFrame, problems: Column, val_posts: DataFrame, ro
     return j.withColumn("part", F.when(F.col("_post").isNotNull(), F.lit("val")).otherwise(F.lit("train"))).drop("_post"), accounts
 
 
+def data_hash(rows: DataFrame, once: bool = False) -> str:
+    """16 hex digits of the rows' contents: the same for any order and layout, and for no other rows.
+
+    The hashes of the rows are summed in four parts, so that no list holds them. With ``once`` equal rows count once.
+    """
+    h = rows.select(F.sha2(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}), 256).alias("h"))
+    h = h.distinct() if once else h
+    parts = [F.sum(F.conv(F.substring("h", 1 + 16 * k, 15), 16, 10).cast("decimal(20,0)")).cast("string").alias(f"p{k}") for k in range(4)]
+    sums = h.agg(F.count(F.lit(1)).cast("string").alias("n"), *parts)
+    return sums.select(F.substring(F.sha2(F.concat_ws(":", "n", *[f"p{k}" for k in range(4)]), 256), 1, 16)).first()[0]
+
+
 def manifest(corpus: DataFrame, data_hash: str, hyper: dict, price_per_million: float = 0.0) -> dict:
     """Counts, tokens (characters over four) and cost of a run, from one aggregate."""
     size = F.aggregate(F.transform("messages", lambda m: F.length(F.coalesce(m["content"], F.lit("")))), F.lit(0), lambda a, x: a + x)

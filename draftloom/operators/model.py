@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from draftloom.functions import text
 from draftloom.operators.pairs import extract, near_identity
 
-GRID = [0.01, 0.1, 1.0, 10.0]
+GRID = [0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0]
 
 
 def assemble(pairs: DataFrame, max_sim: float | None = 0.85, extra: DataFrame | None = None) -> DataFrame:

@@ -443,7 +443,7 @@ def training_manifest(spark: SparkSession, d: str) -> DataFrame:
     p = _once(spark, d)
     val = table(spark, d, "train_corpus").select(F.explode("val_posts").alias("post"))
     c, _ = corpus.training_corpus(p, P.problems(p, SYSTEM, REQUIRED), val, cap=4)
-    return spark.createDataFrame([(json.dumps(corpus.manifest(c, "0" * 16, {"epochs": 3})),)], "manifest string")
+    return spark.createDataFrame([(json.dumps(corpus.manifest(c, corpus.data_hash(table(spark, d, "pairs").drop("ingested_at"), once=True), {"epochs": 3})),)], "manifest string")
 
 
 # --- scores ------------------------------------------------------------------
@@ -626,7 +626,7 @@ def classifier(spark: SparkSession, d: str) -> DataFrame:
     sizes = rows.groupBy("post").agg(F.count(F.lit(1)).alias("n"))
     held = spark.createDataFrame([(p,) for p in splits.shuffled_posts(sizes.select("post"), 0.2, 0)], "post string")
     train, test = rows.join(F.broadcast(held), "post", "left_anti"), rows.join(F.broadcast(held), "post", "left_semi")
-    c = model.choose_c(train, splits.balanced_folds(train.groupBy("post").agg(F.count(F.lit(1)).alias("n"))), [0.1, 1.0])
+    c = model.choose_c(train, splits.balanced_folds(train.groupBy("post").agg(F.count(F.lit(1)).alias("n"))))
     scored = model.predict(test, model.head_of(model.fit(train, c)))
     return model.pairwise_accuracy(scored).crossJoin(model.auc(scored)).withColumn("c", F.lit(c))
 

@@ -148,6 +148,26 @@ def test_rewrite_and_best(spark):
     assert {r.k: r.text for r in corpus.best_of(c, ["k"]).collect()} == {"k": "in", "j": "y"}
 
 
+def test_data_hash(spark):
+    rows = [(1, ["a", None], None), (2, ["b"], "x"), (2, ["b"], "x"), (3, [], "")]
+    of = lambda r, n=1: corpus.data_hash(spark.createDataFrame(r, "i int, t array<string>, s string").repartition(n))
+    got = of(rows)
+    assert len(got) == 16 and got == of(rows[::-1], 3)
+    assert len({got, of(rows[1:]), of(rows[:2] + rows[3:]), of([(1, ["a"], None)] + rows[1:]), of(rows[:3] + [(3, [], None)]), of([])}) == 6
+
+
+def test_registered_over_the_whole_job(spark, monkeypatch):
+    from draftloom.plans import catalogue
+
+    d, seen = "/root/testdata/sf0.001", []
+    monkeypatch.setattr(model, "choose_c", lambda rows, folds, grid=model.GRID: seen.append(grid) or 1.0)
+    catalogue.classifier(spark, d)
+    assert seen == [[0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0]]
+    import json
+
+    assert json.loads(catalogue.training_manifest(spark, d).first()[0])["data_sha"] == corpus.data_hash(catalogue._once(spark, d).drop("ingested_at")) != "0" * 16
+
+
 def test_sessions(spark):
     items = spark.createDataFrame([("a", i, 10) for i in range(7)], "arm string, item int, tokens int")
     got = {int(r.item): (r.session, r.turn) for r in corpus.session_plan(items, 25, 3, ["item"]).collect()}
