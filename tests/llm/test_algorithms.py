@@ -4,6 +4,7 @@ import itertools
 import random
 
 import pytest
+import tiktoken
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -264,3 +265,25 @@ def test_pack_documents(spark):
     assert max(load.values()) <= 100 and len(load) <= 11
     assert sorted(r.piece for r in out if r.doc_id == 3) == list(range(8)) and all(r.piece == 0 for r in out if r.doc_id != 3)
     assert packing.pack_documents(df.filter("false")).count() == 0
+
+
+RANKS = tokens.load_ranks()
+PIECES = {v: k for k, v in RANKS.items()}
+REFERENCE = tiktoken.Encoding("plain", pat_str=r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+", mergeable_ranks=RANKS, special_tokens={})
+
+
+@settings(max_examples=300, **LOOSE)
+@given(st.lists(st.sampled_from(["a", "b", "c", "th", "e", "in", "g", "é", "数"]), min_size=1, max_size=40))
+def test_heap_merge_equals_the_tokenizer(parts):
+    word = "".join(parts)
+    assert tokens.merge_long(word.encode(), RANKS) == REFERENCE.encode_ordinary(word)
+
+
+def test_long_words(spark):
+    """Words far above the bound of the fold are coded exactly, and in time that does not grow with their square."""
+    r = random.Random(5)
+    texts = ["x" * 200_000, "".join(r.choices("acgt", k=60_000)) + " and more", "数" * 5000 + "。" + "と" * 5000, "a" * (tokens.LONG + 1), "b" * tokens.LONG, " " * 10_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {x[0]: x[1] for x in tokens.encode(df, "doc_id", "text").collect()}
+    assert all(got[k] == REFERENCE.encode_ordinary(t) for k, t in enumerate(texts) if k)
+    assert b"".join(PIECES[i] for i in got[0]) == texts[0].encode()
