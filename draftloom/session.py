@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -38,7 +39,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not set_to:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        set_to = os.environ.setdefault("DRAFTLOOM_LOCAL_CHECKPOINTS", tempfile.mkdtemp(prefix="draftloom-"))
+        set_to = os.environ.get("DRAFTLOOM_LOCAL_CHECKPOINTS") or tempfile.mkdtemp(prefix="draftloom-")
+        os.environ["DRAFTLOOM_LOCAL_CHECKPOINTS"] = set_to
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(set_to)
     return set_to
@@ -50,16 +52,49 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder for a written table."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder for a written table.
+
+    What is returned lazily may read it, so it stays until ``clean`` is called
+    or the driver's process ends.
+    """
+    if not _SCRATCH:
+        atexit.register(clean)
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def clean() -> None:
+    """Delete the scratch tables of this process; results that still read them must have been used before."""
+    while _SCRATCH:
+        spark, path = _SCRATCH.pop()
+        if spark.sparkContext._jsc is None:  # stopped: its folder can no longer be reached
+            continue
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes under which the file source makes no further split, as Spark's file open cost has it.
+SPLIT = 4 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """The rows over all cores, for CPU-heavy steps over an input of fewer splits than cores; others stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """The rows over all cores, for CPU-heavy steps over an input of fewer splits than cores; others stay as they are.
+
+    Decided from the plan alone: nothing is run. Plans that shuffle are left to
+    adaptive execution.
+    """
+    plan, sc = df._jdf.queryExecution().optimizedPlan(), df.sparkSession.sparkContext
+    leaves = plan.collectLeaves()
+    if leaves.size() != 1 or " Aggregate [" in f" {plan.toString()}":
+        return df
+    stored = int(leaves.apply(0).stats().sizeInBytes())
+    return df.repartition(sc.defaultParallelism) if stored < SPLIT * sc.defaultParallelism else df

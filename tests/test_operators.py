@@ -190,3 +190,30 @@ def test_sessions_of_a_large_arm_are_in_order(spark):
 def test_arms(spark):
     a = splits.arms(spark, ["m", "m", "n"], ["s"], ["off", "on"])
     assert [tuple(r) for r in a.orderBy("arm_idx").collect()] == [(0, "s", "off", "m"), (1, "s", "off", "n"), (2, "s", "on", "m"), (3, "s", "on", "n")]
+
+
+def test_lookup_join(spark):
+    from draftloom.operators import joins
+
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else None if i % 2 else f"k{i}") for i in range(60)], "id int, k string")
+    dim = spark.createDataFrame([("hot", 1), (None, 2), ("k0", 3), ("unused", 4)], "name string, v int")
+    got = {r.id: r.v for r in joins.lookup(rows, dim, F.col("k"), "name").collect()}
+    assert len(got) == 60 and got[0] == 3 and got[1] == 1 and got[3] == 2 and got[6] is None
+    assert joins.lookup(rows, dim, F.col("k"), "name", "inner").count() == 51
+    assert joins.lookup(rows.filter("false"), dim, F.col("k"), "name").columns == ["id", "k", "v"]
+
+
+def test_spread_runs_nothing_and_scratch_is_deleted(spark, tmp_path):
+    import os
+
+    from draftloom import session
+
+    spark.range(100).write.parquet(f"{tmp_path}/t")
+    t = spark.read.parquet(f"{tmp_path}/t")
+    assert session.spread(t).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    grouped = t.groupBy("id").count()
+    assert session.spread(grouped) is grouped
+    at = session.scratch(spark, "x")
+    t.write.parquet(at)
+    session.clean()
+    assert not os.path.exists(at)
