@@ -167,12 +167,11 @@ def _bodies(rows: DataFrame, id_col: str, messages: Column, split: Column, conte
     return spread(src).mapInPandas(look, schema)
 
 
-def overlaps(rows: DataFrame, id_col: str = "pair_id") -> DataFrame:
-    """(train_id, eval_id, side, jaccard, share) of every record pair across splits whose bodies overlap.
+def linked_texts(rows: DataFrame, id_col: str = "pair_id") -> tuple[DataFrame, DataFrame]:
+    """(members (id, train, side, h), links (side, th, eh, jaccard, share)): the class of each body, and the classes that overlap across splits.
 
-    Bodies are compared with bodies of the same role. Repeated rows of an id
-    count once; null contents, null splits and bodies under LEAST_WORDS words
-    overlap nothing; ``share`` is the common subsequence over the longer body.
+    A class is all bodies of a role with the same words. Bodies are compared
+    with bodies of the same role; copies are not expanded.
     """
     spark = rows.sparkSession
     at = scratch(spark, "bodies")
@@ -229,6 +228,17 @@ def overlaps(rows: DataFrame, id_col: str = "pair_id") -> DataFrame:
     cols = ["side", "th", "eh", "tt", "tc", "et", "ec"]
     linked = pairs.select(*cols).mapInPandas(verify, "side int, th bigint, eh bigint, jaccard double, share double")
     linked = linked.unionByName(candidates.filter("th = eh").select("side", "th", "eh", F.lit(1.0).alias("jaccard"), F.lit(1.0).alias("share")))
+    return member, linked
+
+
+def overlaps(rows: DataFrame, id_col: str = "pair_id") -> DataFrame:
+    """(train_id, eval_id, side, jaccard, share) of every record pair across splits whose bodies overlap.
+
+    Bodies are compared with bodies of the same role. Repeated rows of an id
+    count once; null contents, null splits and bodies under LEAST_WORDS words
+    overlap nothing; ``share`` is the common subsequence over the longer body.
+    """
+    member, linked = linked_texts(rows, id_col)
     t = member.filter("train").select(F.col("id").alias("train_id"), "side", F.col("h").alias("th"))
     e = member.filter("not train").select(F.col("id").alias("eval_id"), "side", F.col("h").alias("eh"))
     return linked.join(e, ["side", "eh"]).join(t, ["side", "th"]).select("train_id", "eval_id", "side", "jaccard", "share")
@@ -240,10 +250,41 @@ def overlapping_ids(rows: DataFrame, id_col: str = "pair_id") -> DataFrame:
     return o.filter("train_id <> eval_id").select(F.least("train_id", "eval_id").alias("pair_a"), F.greatest("train_id", "eval_id").alias("pair_b")).distinct()
 
 
+def _linked_copies(member: DataFrame, links: DataFrame) -> DataFrame:
+    """(train, side, h, links): of each class with overlaps, how many bodies of the other side of the split it overlaps with."""
+    size = member.groupBy("train", "side", "h").agg(F.count(F.lit(1)).alias("n"))
+    ends = links.select("side", F.explode(F.array(F.struct(F.lit(True).alias("train"), F.col("th").alias("h"), F.col("eh").alias("other")), F.struct(F.lit(False).alias("train"), F.col("eh").alias("h"), F.col("th").alias("other")))).alias("x")).select("side", "x.*")
+    far = size.select((~F.col("train")).alias("train"), "side", F.col("h").alias("other"), "n")
+    return ends.join(far, ["train", "side", "other"]).groupBy("train", "side", "h").agg(F.sum("n").alias("links"))
+
+
+def overlap_classes(rows: DataFrame, id_col: str = "pair_id") -> DataFrame:
+    """(id, role, class_id, links): every body of at least LEAST_WORDS words once, with its class and its number of overlaps across splits."""
+    member, links = linked_texts(rows, id_col)
+    out = member.join(_linked_copies(member, links), ["train", "side", "h"], "left")
+    role = F.when(F.col("side") == 0, F.lit("user")).otherwise(F.lit("assistant"))
+    return out.select(F.col("id").alias(id_col), role.alias("role"), F.col("h").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+
+
 def overlap_counts(rows: DataFrame, id_col: str = "pair_id") -> DataFrame:
-    """(split, source, links, records): overlaps of the evaluation records per split and source, as written."""
-    o = overlaps(rows, id_col).select(F.col("eval_id").alias("id"), "train_id").distinct()
-    of = rows.filter(F.col("split").isin("val", "eval")).select(F.col(id_col).cast("bigint").alias("id"), "split", "source").distinct()
-    # one row an id first, so that a hot source is counted from partial sums
-    per = o.groupBy("id").agg(F.count(F.lit(1)).alias("links"))
-    return of.join(per, "id").groupBy("split", "source").agg(F.sum("links").alias("links"), F.count(F.lit(1)).alias("records"))
+    """(split, source, links, records): overlaps of the evaluation records per split and source, as written.
+
+    Counted from classes, copies are not expanded: a record's links are those
+    of its user body and of its assistant body, less the training records that
+    overlap in both. Of different bodies of one role under one id the one with the largest hash counts.
+    """
+    member, links = linked_texts(rows, id_col)
+    body = lambda side: F.max(F.when(F.col("side") == side, F.col("h")))
+    records = member.groupBy("id", "train").agg(body(0).alias("u"), body(1).alias("a"))
+    shapes = records.filter("u is not null and a is not null").groupBy("train", "u", "a").agg(F.count(F.lit(1)).alias("n"))
+    of = {side: links.filter(F.col("side") == side).select("th", "eh") for side in (0, 1)}
+    both = shapes.filter("not train").select(F.col("u").alias("eu"), F.col("a").alias("ea")).join(of[0].toDF("tu", "eu"), "eu")
+    both = both.join(shapes.filter("train").select(F.col("u").alias("tu"), F.col("a").alias("ta"), "n"), "tu").join(of[1].toDF("ta", "ea"), ["ta", "ea"])
+    both = both.groupBy(F.col("eu").alias("u"), F.col("ea").alias("a")).agg(F.sum("n").alias("twice"))
+    one = _linked_copies(records.select("train", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("u").alias("h")), F.struct(F.lit(1).alias("side"), F.col("a").alias("h")))).alias("x")).select("train", "x.*").filter("h is not null"), links).filter("not train")
+    n = records.filter("not train").select("id", "u", "a")
+    for side, c in ((0, "u"), (1, "a")):
+        n = n.join(one.filter(F.col("side") == side).select(F.col("h").alias(c), F.col("links").alias(f"n{side}")), c, "left")
+    n = n.join(both, ["u", "a"], "left").select("id", (F.coalesce("n0", F.lit(0)) + F.coalesce("n1", F.lit(0)) - F.coalesce("twice", F.lit(0))).alias("links")).filter("links > 0")
+    written = rows.filter(F.col("split").isin("val", "eval")).select(F.col(id_col).cast("bigint").alias("id"), "split", "source").distinct()
+    return written.join(n, "id").groupBy("split", "source").agg(F.sum("links").alias("links"), F.count(F.lit(1)).alias("records"))

@@ -12,7 +12,11 @@ from draftloom.session import table
 
 
 def p3_sample(spark: SparkSession, d: str) -> DataFrame:
-    """A tenth of the pairs of each source (in any spelling), at least one of each, fed batch by batch."""
+    """A tenth of the pairs of each source (in any spelling), at least one of each, fed batch by batch.
+
+    The values and thresholds are kept in a store of the shared folder that is
+    named by the table's path: a later run over the grown table consults it.
+    """
     return _sample(spark, d, 1)
 
 
@@ -23,7 +27,8 @@ def p3_tenth(spark: SparkSession, d: str) -> DataFrame:
 
 def _sample(spark: SparkSession, d: str, least: int) -> DataFrame:
     rows = table(spark, d, "pairs").select("pair_id", "source", "ingest_batch")
-    out = sampling.sample_by_batches(rows, "pair_id", groups.post_key(F.col("source")), "ingest_batch", least=least)
+    at = sampling.named_store(spark, f"p3-least{least}", f"{d.rstrip('/')}/pairs.parquet")
+    out = sampling.sample_by_batches(rows, "pair_id", groups.post_key(F.col("source")), "ingest_batch", at, least=least)
     return out.select(F.col("id").alias("pair_id"), F.col("stratum").alias("source"), "u", "threshold", "first_batch")
 
 
@@ -128,7 +133,12 @@ def p4_counts(spark: SparkSession, d: str) -> DataFrame:
     return overlap.overlap_counts(table(spark, d, "pairs"))
 
 
-QUERIES |= {"p4_found": p4_found, "p4_counts": p4_counts}
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Every body with its class of equal texts and its number of overlaps."""
+    return overlap.overlap_classes(table(spark, d, "pairs"))
+
+
+QUERIES |= {"p4_found": p4_found, "p4_counts": p4_counts, "p4_classes": p4_classes}
 
 
 def p8_packed(spark: SparkSession, d: str) -> DataFrame:

@@ -26,10 +26,10 @@ def test_sample_stays_and_repeats(spark):
         now = {r.id for r in store.sample().collect()}
         assert before <= now
         before = now
-    again = {r.id for r in sampling.sample_by_batches(df.repartition(7), "pair_id", F.col("source"), "b", rate=0.2).collect()}
+    again = {r.id for r in sampling.sample_by_batches(df.repartition(7), "pair_id", F.col("source"), "b", scratch(spark, "t"), rate=0.2).collect()}
     assert again == before and 40 < len(again) < 140 and None not in again
     assert {r.stratum for r in store.sample().collect()} == {f"s{i}" for i in range(7)} | {None}
-    assert sampling.sample_by_batches(df.filter("false"), "pair_id", F.col("source"), "b").count() == 0
+    assert sampling.sample_by_batches(df.filter("false"), "pair_id", F.col("source"), "b", scratch(spark, "t")).count() == 0
     few = sampling.PermanentSample(spark, scratch(spark, "t"), rate=0.0, least=3)
     few.add(df.select(F.col("pair_id").alias("id"), F.col("source").alias("stratum")))
     assert min(r["count"] for r in few.sample().groupBy("stratum").count().collect()) >= 3
@@ -37,6 +37,41 @@ def test_sample_stays_and_repeats(spark):
         sampling.PermanentSample(spark, "x", rate=2)
 
 
+@pytest.mark.parametrize("least", [0, 1, 3])
+def test_sample_store_is_durable(spark, least):
+    """Closed, opened again and added to, a store keeps every value, stratum and selected id."""
+    at = scratch(spark, "t")
+    rows = lambda a, b: spark.createDataFrame([(i, f"s{i % 9}" if i % 13 else None) for i in range(a, b)], "id bigint, stratum string")
+    first = sampling.PermanentSample(spark, at, rate=0.1, least=least)
+    first.add(rows(0, 150))
+    one = {r.id: (r.u, r.stratum) for r in first.sample().collect()}
+    again = sampling.PermanentSample(spark, at, rate=0.1, least=least)
+    assert again.values().count() == 150 and {r.id for r in again.sample().collect()} == set(one)
+    spark.createDataFrame([(1, "lost", 0.5, 1)], sampling.VALUES).write.parquet(f"{at}/values/1")  # an insert that was never committed
+    again = sampling.PermanentSample(spark, at, rate=0.1, least=least)
+    again.add(rows(100, 400).withColumn("stratum", F.concat(F.lit("moved"), F.coalesce("stratum", F.lit("")))))
+    two = {r.id: (r.u, r.stratum) for r in sampling.PermanentSample(spark, at, rate=0.1, least=least).sample().collect()}
+    assert one.items() <= two.items() and len(two) > len(one)
+    with pytest.raises(ValueError):
+        sampling.PermanentSample(spark, at, rate=0.2, least=least)
+    if least:
+        sizes = {r.stratum: r["count"] for r in sampling.PermanentSample(spark, at, rate=0.1, least=least).sample().groupBy("stratum").count().collect()}
+        assert len(sizes) == 20 and min(sizes.values()) >= least
+
+
+def test_sample_in_one_insert_equals_one_by_one(spark):
+    rows = [(i % 300, f"s{i % 7}", i % 4) for i in range(500)]
+    df = spark.createDataFrame(rows, "pair_id bigint, source string, b int")
+    slow = sampling.PermanentSample(spark, scratch(spark, "t"), rate=0.05, least=2)
+    for b in range(4):
+        slow.add(df.filter(F.col("b") == b).select(F.col("pair_id").alias("id"), F.col("source").alias("stratum")))
+    at = scratch(spark, "t")
+    fast = {tuple(r) for r in sampling.sample_by_batches(df, "pair_id", F.col("source"), "b", at, rate=0.05, least=2).collect()}
+    assert fast == {tuple(r) for r in slow.sample().collect()}
+    kept = sampling.sample_by_batches(df.filter("pair_id < 200"), "pair_id", F.col("source"), "b", at, rate=0.05, least=2)
+    assert {tuple(r) for r in kept.collect()} == {r for r in fast if r[0] < 200}
+
+
 # --- groups -----------------------------------------------------------------
 def test_keys(spark):
     labels = ["post/a.qmd", "./post//a.qmd", "Post\\A.QMD ", "post/x/../a.qmd", "/post/./a.qmd", "\xa0post/a.qmd"]
@@ -163,6 +198,8 @@ def test_overlaps_against_all_pairs(spark):
     assert got <= want and len(want) > 50 and len(got) >= 0.98 * len(want), (len(got), len(want))
     counts = overlap.overlap_counts(df).collect()
     assert {c.split for c in counts} <= {"val", "eval"} and sum(c.links for c in counts) == len(got)
+    classes = {(r.pair_id, r.role): r.links for r in overlap.overlap_classes(df).collect()}
+    assert sum(n for (_, role), n in classes.items() if role == "assistant") == 2 * len(got)
     assert overlap.overlapping_ids(df.filter("false")).count() == 0
 
 
@@ -175,6 +212,17 @@ def test_overlaps_of_a_text_in_both_roles(spark, monkeypatch):
     assert {tuple(x) for x in overlap.overlapping_ids(df).collect()} == {(2, 3)}
 
 
+def test_counts_without_expanding_copies(spark):
+    """Copies in both roles: counts of classes equal those of the expanded pairs."""
+    r = random.Random(4)
+    texts = [" ".join(r.choice("abcdefghijklmnop") * 3 for _ in range(40)) for _ in range(4)]
+    rows = [(i, [("user", r.choice(texts)), ("assistant", r.choice([*texts, "few words"]))], None, r.choice(["train", "train", "val", "eval"]), r.choice(["s", "t", None])) for i in range(120)]
+    df = spark.createDataFrame(rows, "pair_id bigint, messages array<struct<role:string,content:string>>, context string, split string, source string")
+    pairs = overlap.overlaps(df).select("train_id", "eval_id").distinct().join(df.select(F.col("pair_id").alias("eval_id"), "split", "source"), "eval_id")
+    want = {tuple(x) for x in pairs.groupBy("split", "source").agg(F.count(F.lit(1)), F.countDistinct("eval_id")).collect()}
+    assert {tuple(x) for x in overlap.overlap_counts(df).collect()} == want and len(want) == 6
+
+
 def test_overlaps_with_a_quarter_of_the_words_edited(spark):
     r = random.Random(11)
     vocab = [f"w{i}" for i in range(3000)]
