@@ -10,8 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from draftloom.operators.joins import lookup
 from draftloom.session import checkpoint
 
+#: Rows of a cluster above which its node is a hub; of n rows at most n / HUB are hubs', so their table is small enough to broadcast.
+HUB = 100_000
+
 #: Names that stand for no name.
 PLACEHOLDERS = [
     "", "-", "--", "?", "n/a", "na", "n.a.", "n.a", "nan", "nil", "none", "null", "unknown", "staff", "anonymous", "anon",
@@ -59,14 +63,14 @@ def series_key(name: Column) -> Column:
     return F.when(name.isNotNull() & ~plain.isin(PLACEHOLDERS) & (key != "") & ~key.isin(PLACEHOLDERS), key)
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, max_rounds: int = 60, hub: int = HUB) -> DataFrame:
     """Connected components of (a, b) string edges: rows (node, component).
 
     Hash-to-min: a node v with cluster C(v) and minimum m sends C(v) to m and m
     to the rest of C(v), until nothing changes. The component is its smallest
     node. Self loops keep a node alone; null ends are dropped; an empty table
-    gives none. Minima are pre-aggregated, hot nodes are left to AQE's skew
-    join, and every round ends in a reliable checkpoint.
+    gives none. Minima are pre-aggregated, the clusters of hubs are joined
+    where they lie, and every round ends in a reliable checkpoint.
     """
     e = edges.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b")).filter("a is not null and b is not null")
     c = e.select(F.col("a").alias("v"), F.col("b").alias("u")).unionByName(e.select(F.col("b").alias("v"), F.col("a").alias("u")))
@@ -74,8 +78,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     c = checkpoint(c)
     seen = None
     for _ in range(max_rounds):
-        low = c.groupBy("v").agg(F.min("u").alias("m"))
-        sent = c.join(low, "v").select(F.explode(F.array(F.struct(F.col("m").alias("v"), F.col("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("x")).select("x.v", "x.u")
+        low = c.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n"))
+        hubs = F.broadcast(low.filter(F.col("n") > hub).select("v", "m"))  # at most rows / hub of them
+        rest = c.join(hubs.select("v"), "v", "left_anti").join(low.filter(F.col("n") <= hub).select("v", "m"), "v")
+        sent = c.join(hubs, "v").unionByName(rest).select(F.explode(F.array(F.struct(F.col("m").alias("v"), F.col("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("x")).select("x.v", "x.u")
         c = checkpoint(sent.unionByName(low.select("v", F.col("v").alias("u"))).distinct())
         now = c.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
         if now == seen:
@@ -131,5 +137,5 @@ def grouped_split(pairs: DataFrame, posts: DataFrame, weights: dict[str, float]
     """
     g = source_groups(pairs, posts)
     ids = pairs.groupBy("pair_id").agg(F.min("source").alias("source"))
-    j = ids.join(g, "source", "left").withColumn("component", F.coalesce("component", F.concat(F.lit("id:"), F.col("pair_id").cast("string")), F.lit("id:null")))
+    j = lookup(ids, g.withColumnRenamed("source", "label"), F.col("source"), "label").withColumn("component", F.coalesce("component", F.concat(F.lit("id:"), F.col("pair_id").cast("string")), F.lit("id:null")))
     return j.select("pair_id", "source", "component", rendezvous(F.col("component"), weights or {"train": 0.8, "validation": 0.1, "test": 0.1}, seed).alias("split"))

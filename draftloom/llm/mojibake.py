@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from draftloom.operators.joins import lookup
 from draftloom.session import checkpoint, spread
 
 #: UTF-8 bytes read as one of these. cp1252 takes the bytes it leaves open as C1 controls.
@@ -180,11 +181,23 @@ def word_score(word: str) -> float:
     return total
 
 
-@lru_cache(200_000)
+#: Characters of a word that are judged together; longer words (compounds, unspaced scripts) are read in such windows.
+WINDOW = 40
+
+
 def _word_ratios(word: str) -> tuple[tuple[int, float], ...]:
-    """Of a word, the single-byte chains that could have given it, with their ratios. Runs beyond 40 characters are no words."""
-    if len(word) > 40:
-        return ()
+    """Of a word of any length, the single-byte chains that could have given it, with their ratios."""
+    if len(word) <= WINDOW:
+        return _window_ratios(word)
+    sums: dict[int, float] = {}
+    for part in {word[k : k + WINDOW] for k in range(0, len(word), WINDOW)}:
+        for c, gain in () if part.isascii() or len(set(part)) < 4 else _window_ratios(part):  # a row of one letter tells nothing
+            sums[c] = sums.get(c, 0.0) + gain
+    return tuple(sums.items())
+
+
+@lru_cache(200_000)
+def _window_ratios(word: str) -> tuple[tuple[int, float], ...]:
     here, out = word_score(word), []
     for a, b in SINGLE:
         raw = to_bytes(word, b)
@@ -205,9 +218,15 @@ def _word_ratios(word: str) -> tuple[tuple[int, float], ...]:
     return tuple(out)
 
 
-_MENTION = re.compile(r"`[^`\x00-\x20A-Za-z0-9]{1,16}`|\"[^\"\x00-\x7f]{1,12}\"|'[^'\x00-\x7f]{1,12}'|“[^”\x00-\x7f“]{1,8}”|«[^»\x00-\x7f]{1,8}»|‘[^’\x00-\x7f‘]{1,8}’")
+_MENTION = re.compile(r"`[^`\x00-\x20A-Za-z0-9]+`|\"[^\"\x00-\x7f]+\"|'[^'\x00-\x7f]+'|“[^”\x00-\x7f“]+”|«[^»\x00-\x7f]+»|‘[^’\x00-\x7f‘]+’")
+#: Signs of a mention that is taken for one by itself: what stands for one to five characters.
+SHORT_MENTION = {"`": 18, '"': 14, "'": 14}
+#: Words by which a text speaks about a sequence of characters.
+_ABOUT = re.compile(r"(?i)\b(?:encod\w*|decod\w*|utf-?8|unicode|latin-?1|cp\d+|windows-\d+|ascii|mojibake|garbl\w*|bytes?|characters?|sequences?|glyphs?|shows? up|appears?|instead of|turn(?:s|ed) into|becomes?|kodier\w*|zeichen\w*|caract[eè]re\w*|codificaci\w*|encodage)\b")
 _WORD = re.compile(r"[^\s,;:!?()\[\]{}\"<>|/\\*_~=+`.]*[^\x00-\x7f\s][^\s,;:!?()\[\]{}\"<>|/\\*_~=+`.]*")
 _WIDE = re.compile(r"[^\x00-\x7f�]{2,}")
+#: What a run of a wide encoding looks like when its bytes are read one by one: a second byte may be an ASCII sign.
+_RUN = re.compile(r"(?:[^\x00-\x7f\s][\x21-\x7e]?){6,}")
 _PART = re.compile(r"[^\n.!?]+")
 
 
@@ -251,9 +270,48 @@ def _wide_back(run: str, enc: str) -> str | None:
     return was if was != run and all(_plausible(c) for c in was) else None
 
 
+def _without_mentions(text: str) -> str:
+    """The text without sequences that it quotes in order to speak about them."""
+
+    def gone(m: re.Match[str]) -> str:
+        s = m.group()
+        if len(s) <= SHORT_MENTION.get(s[0], 10):
+            return " "
+        a, b = max(text.rfind("\n", 0, m.start()), text.rfind(". ", 0, m.start())), text.find("\n", m.end())
+        return " " if _ABOUT.search(text, a + 1, m.start()) or _ABOUT.search(text, m.end(), b if b >= 0 else len(text)) else s
+
+    return _MENTION.sub(gone, text)
+
+
+def _wide_runs(text: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, was, read, restored) of the parts that a wide encoding read as another gives: dense lines, and runs within others."""
+    at = 0
+    for line in text.split("\n"):
+        start, at = at, at + len(line) + 1
+        if line.isascii():
+            continue
+        dense = sum(c >= "\x80" for c in line) * 4 > len(line)
+        for s, e in [(0, len(line))] if dense else [m.span() for m in _RUN.finditer(line)]:
+            for a, b in WIDE_READ_AS:
+                if not dense and a == "gbk":
+                    continue  # a short run of any accented letters is some Chinese
+                for end in (e,) if dense else (e, e - 1, e - 2):
+                    raw = to_bytes(line[s:end], b)
+                    try:
+                        was = raw.decode(a) if raw else ""
+                    except UnicodeDecodeError:
+                        continue
+                    k = _kana(was)
+                    if k < 4 or k * 2 <= len(was) or len(set(was)) < (6 if dense else 4) or any(0xFF61 <= ord(c) <= 0xFF9F for c in was):
+                        continue
+                    if dense or 3 * sum(0x3041 <= ord(c) <= 0x30FE for c in was) >= len(was):
+                        yield start + s, start + end, a, b, was
+                        break
+
+
 def evidence(text: str) -> dict[int, float]:
     """Chain -> log-likelihood ratio against clean text, for chains above 0.5. Mentions are left out."""
-    text = _MENTION.sub(" ", text)
+    text = _without_mentions(text)
     chars = set(text)
     odd = {c for c in chars if c >= "\x80"}
     out: dict[int, float] = {}
@@ -279,16 +337,8 @@ def evidence(text: str) -> dict[int, float]:
             if hits:
                 out[INDEX[f"utf_8>{enc}"]] = 3.0 * hits
     if any("\x80" <= c <= "\xff" or c in "ƒ„…†‡‰Šš‹›Œœ" for c in odd):
-        for line in text.split("\n"):
-            if sum(c >= "\x80" for c in line) * 4 > len(line):
-                for a, b in WIDE_READ_AS:
-                    raw = to_bytes(line, b)
-                    try:
-                        was = raw.decode(a) if raw else ""
-                    except UnicodeDecodeError:
-                        continue
-                    if (k := _kana(was)) >= 4 and k * 2 > len(was) and len(set(was)) >= 6 and not any(0xFF61 <= ord(c) <= 0xFF9F for c in was):
-                        out[INDEX[f"{a}>{b}"]] = out.get(INDEX[f"{a}>{b}"], 0.0) + 2.0 * k
+        for _, _, a, b, was in _wide_runs(text):
+            out[INDEX[f"{a}>{b}"]] = out.get(INDEX[f"{a}>{b}"], 0.0) + 2.0 * _kana(was)
     # single-byte chains: parts of the text, so that a garbled part is not outweighed by a clean one
     for part in _PART.findall(text):
         if part.isascii():
@@ -316,15 +366,9 @@ def restore(text: str, chain: str) -> tuple[str, bool]:
         elif was == "utf_8":
             out = _WIDE.sub(lambda m: _wide_back(m.group(), read) or m.group(), out)
         elif (was, read) in WIDE_READ_AS:
-            lines = []
-            for line in out.split("\n"):
-                try:
-                    raw = to_bytes(line, read)
-                    got = raw.decode(was) if raw else line
-                except UnicodeDecodeError:
-                    got = line
-                lines.append(got if _kana(got) > _kana(line) else line)
-            out = "\n".join(lines)
+            for start, end, a, b, got in reversed(list(_wide_runs(out))):
+                if (a, b) == (was, read):
+                    out = out[:start] + got + out[end:]
         else:
             key = INDEX[f"{was}>{read}"]
 
@@ -358,39 +402,43 @@ def gather(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> Data
     return spread(src.filter(F.col("t").rlike(r"[^\x00-\x7f]"))).mapInPandas(look, schema).withColumn("field", F.lit(text_col))
 
 
-def estimate(docs: DataFrame, found: DataFrame, source_col: str, rounds: int = 5, strength: float = 20.0, base: float = 0.01) -> DataFrame:
+def estimate(docs: DataFrame, found: DataFrame, source_col: str, rounds: int = 30, strength: float = 20.0, base: float = 0.01, settled: float = 2e-4) -> DataFrame:
     """Adds ``chain`` and ``posterior`` (of any chain) to the gathered evidence by EM.
 
-    A source's mixture is smoothed by ``strength`` pseudo-records of the corpus
-    mixture; sums are pre-aggregated, and one row a (source, chain) is kept.
+    The mixture of a source and field is smoothed by ``strength``
+    pseudo-records of the corpus mixture; sums are pre-aggregated, and one row
+    a (source, field, chain) is kept. Ends when no chain's share of the corpus
+    changes by more than ``settled``, or after ``rounds``.
     """
     n = len(CHAINS)
     size = docs.groupBy(F.col(source_col).alias("source")).agg(F.count(F.lit(1)).cast("double").alias("n"))
     total = size.agg(F.sum("n")).first()[0] or 1.0
     every = [base / n] * n
-    mix = None
+    of = F.struct("source", "field")
+    mix, still = None, False
     for k in range(rounds):
         prior = F.array(*[F.lit(float(p)) for p in every])
         if mix is None:
             e = found.withColumn("prior", prior)
         else:
-            e = found.join(mix, F.col("source").eqNullSafe(F.col("s0")), "left").drop("s0")
+            e = lookup(found, mix, of, "of", salts=4)
             e = e.withColumn("prior", F.transform(prior, lambda p, i: (F.coalesce(F.get("own", i), F.lit(0.0)) + strength * p) / (F.coalesce("n", F.lit(0.0)) + strength))).drop("own", "n")
         odds = F.transform("ratios", lambda r: F.struct(r["c"].alias("c"), (F.get("prior", r["c"]) * F.exp(r["l"])).alias("o")))
         clean = F.lit(1.0) - F.aggregate("prior", F.lit(0.0), lambda a, x: a + x)
         e = e.withColumn("odds", odds).withColumn("sum", F.aggregate("odds", F.lit(0.0), lambda a, x: a + x["o"]) + F.greatest(clean, F.lit(1e-9)))
-        if k == rounds - 1:
+        if still or k == rounds - 1:
             best = F.array_max(F.transform("odds", lambda x: F.struct(x["o"].alias("o"), (-x["c"]).alias("c"))))
             names = F.array(*[F.lit(c) for c in CHAINS])
             e = e.withColumn("posterior", F.lit(1.0) - F.greatest(clean, F.lit(1e-9)) / F.col("sum"))
             return e.withColumn("chain", F.get(names, -best["c"])).drop("odds", "sum", "prior")
-        shares = e.select("source", "sum", F.explode("odds").alias("x")).groupBy("source", F.col("x.c").alias("c")).agg(F.sum(F.col("x.o") / F.col("sum")).alias("r"))
+        shares = e.select("source", "field", "sum", F.explode("odds").alias("x")).groupBy("source", "field", F.col("x.c").alias("c")).agg(F.sum(F.col("x.o") / F.col("sum")).alias("r"))
         shares = checkpoint(shares)
         sums = {r["c"]: r["r"] for r in shares.groupBy("c").agg(F.sum("r").alias("r")).collect()}
-        every = [(sums.get(c, 0.0) + base / n) / (total + 1.0) for c in range(n)]
-        own = shares.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("c", "r"))).alias("m"))  # at most one entry a chain
-        own = own.select(F.col("source").alias("s0"), F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda c: F.coalesce(F.element_at("m", c), F.lit(0.0))).alias("own"))
-        mix = own.join(size, F.col("s0").eqNullSafe(F.col("source"))).select("s0", "own", "n")
+        then, every = every, [(sums.get(c, 0.0) + base / n) / (total + 1.0) for c in range(n)]
+        still = max(abs(p - q) for p, q in zip(then, every)) <= settled
+        own = shares.groupBy("source", "field").agg(F.map_from_entries(F.collect_list(F.struct("c", "r"))).alias("m"))  # at most one entry a chain
+        own = own.select(F.col("source").alias("s0"), of.alias("of"), F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda c: F.coalesce(F.element_at("m", c), F.lit(0.0))).alias("own"))
+        mix = own.join(size, F.col("s0").eqNullSafe(F.col("source"))).select("of", "own", "n")
     raise ValueError("rounds must be at least 1")
 
 

@@ -10,38 +10,31 @@ goes back to the executors, where texts are ranked within their size.
 
 from __future__ import annotations
 
-import base64
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from draftloom.llm.tokens import TOKENIZER
+from draftloom.llm.tokens import TOKENIZER, load_ranks
 from draftloom.session import checkpoint, spread
 
 CAPACITY = 4096
+#: Fixed value: the pre-tokeniser's words, as the tokenizer's library writes them.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Buckets that the ranking of one size is split into.
 BUCKETS = 256
 
 
-@lru_cache(4)
-def _encoding(path: str):
-    import public_tokenizers
-    import tiktoken
-
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in f if x.strip())}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-
 def sized(docs: DataFrame, id_col: str, text_col: str, path: str = TOKENIZER) -> DataFrame:
     """(id, tokens): the number of tokens of each text, 0 for null and empty; an id counts once, with its longest text."""
+    ranks = load_ranks(path)  # of the tokenizer's size; read here, so that executors need no file of their own
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = _encoding(path)
+        import tiktoken
+
+        enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         for b in batches:
             yield pd.DataFrame({"id": b["id"], "tokens": [len(enc.encode_ordinary(t)) if t else 0 for t in b["t"]]})
 

@@ -152,7 +152,7 @@ def test_rechunk(spark):
     long = "Sentence number. " * 1000
     rows = [(1, "s", 0, 9, "short", "x"), (2, "s", 1, None, long, "x"), (2, "s", 1, None, long, "x"), (3, "s", 2, 3, "end", "x"), (4, None, None, None, None, "x"), (5, "t", 0, 1, "", "x")]
     df = spark.createDataFrame(rows, "target_id bigint, source string, chunk_index int, chunk_total int, text string, piece string")
-    out = chunking.rechunk_targets(df, 8000, 200, bucket=1).orderBy("source", "chunk_index").collect()
+    out = chunking.rechunk_targets(df, 8000, 200).orderBy("source", "chunk_index").collect()
     s = [r for r in out if r.source == "s"]
     assert [r.target_id for r in s] == [1, 2, 2, 2, 3] and [r.chunk_index for r in s] == [0, 1, 2, 3, 4] and {r.chunk_total for r in s} == {5}
     parts = [r for r in s if r.target_id == 2]
@@ -161,6 +161,13 @@ def test_rechunk(spark):
     assert chunking.split_oversized(df.filter("false"), "target_id", "text").count() == 0
 
 
+def test_rechunk_of_one_hot_source(spark):
+    """All rows in one group without an order: numbered by id, over several ranges."""
+    df = spark.range(2000).select(F.col("id").alias("target_id"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("int").alias("chunk_index"), F.lit("x").alias("text"))
+    out = chunking.rechunk_targets(df)
+    assert [(r.target_id, r.chunk_index, r.chunk_total) for r in out.orderBy("target_id").collect()] == [(i, i, 2000) for i in range(2000)]
+
+
 # --- overlaps ---------------------------------------------------------------
 def brute_lcs(a, b):
     t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]

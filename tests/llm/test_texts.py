@@ -203,3 +203,36 @@ def test_refusals_of_any_length():
     prompt = "The second fold kept every trace of the first, and nobody wondered about the numbers."
     assert all(defects.defect(prompt, x) == "refusal" for x in (LONG, LATE, LONG + " " + "I am sorry that you have to hear this from me. " * 20))
     assert defects.defect(prompt, PROSE) is None and defects.defect(PROSE, PROSE[::1] + " So it was.") != "refusal"
+
+
+# --- no limits of length ------------------------------------------------------
+@pytest.mark.parametrize("times", [1, 10, 1000])
+def test_garbled_words_of_any_length(times):
+    """One word without a break, far above the window: evidence and repair."""
+    word = "żółtaćwiękśzą" * 4 * times
+    bad = word.encode("iso8859_2").decode("cp1252")
+    assert mojibake.evidence(bad)[mojibake.INDEX["iso8859_2>cp1252"]] > 8
+    assert mojibake.restore(bad, "iso8859_2>cp1252") == (word, True)
+
+
+def test_garbled_phrase_within_a_line():
+    was = "The heading of the page is こんにちは世界の皆さん and the rest of this long line is plain English, as it was before."
+    for enc, read in (("cp932", "cp1252"), ("euc_jp", "cp1252")):
+        bad = was.encode(enc)
+        bad = "".join(bytes([b]).decode(read) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(b) for b in bad)
+        assert f"{enc}>{read}" in {mojibake.CHAINS[k] for k in mojibake.evidence(bad)}
+        assert "こんにちは" in mojibake.restore(bad, f"{enc}>{read}")[0]
+    assert not mojibake.evidence("The letters “àâäéèê” are French, as is «œuvre».")
+
+
+def test_mentions_of_any_length():
+    seq = "café été".encode().decode("cp1252")
+    long = "".join(c for c in ("éèêàçùîô" * 5).encode().decode("cp1252") if c > "\x7f")
+    assert not mojibake.evidence(f"With the wrong encoding the letters appear as “{long}” on the page.")
+    assert mojibake.evidence(f"They said {seq} and left for {seq}.")
+
+
+def test_em_ends_when_settled(spark):
+    bad = "Ça c'est déjà très étrange".encode().decode("cp1252")
+    df = spark.createDataFrame([(i, bad if i % 5 == 0 else "plain text", f"s{i % 3}") for i in range(60)], "doc_id bigint, text string, source string")
+    assert {r.doc_id for r in mojibake.garbled(df).collect()} == set(range(0, 60, 5))
