@@ -1,9 +1,9 @@
 """Broken prompt and response pairs: empty, truncated, refused, copied, in another language.
 
 Method: a suffix automaton of the prompt's words is traversed by the answer to
-measure how much of it is copied; refusals are found by patterns and a table
-of phrases over tokens in all sentences, and told from prose by what the other
-sentences say; a stack of delimiters and the kind of the last line tell whether
+measure how much of it is copied; an automaton over tokens (phrases with gaps)
+runs over all sentences for refusals, which are told from prose by what the
+other sentences say; a stack of delimiters and the kind of the last line tell whether
 the last sentence ended; stop words vote for the language of each side.
 """
 
@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,83 +27,161 @@ WORD = re.compile(r"[^\W_]+")
 MISSING = set("na nan none null nil nul void empty blank missing undefined unknown unavailable tbd tba todo noanswer noresponse nooutput nodata notavailable notapplicable novalue nothing noneprovided nichts keine leer aucun aucune vide ninguno nada vacío brak пусто нет なし 無し 无".split())
 
 
+_LONGEST_MISSING = max(map(len, MISSING))
+
+
 def is_empty(answer: str | None) -> bool:
-    if answer is None:
-        return True
-    if len(answer) > 400:
-        return not WORD.search(answer)
-    core = "".join(WORD.findall(answer)).casefold()
+    core = ""
+    for m in WORD.finditer(answer or ""):
+        core += m.group().casefold()
+        if len(core) > _LONGEST_MISSING:
+            return False
     return core == "" or core in MISSING
 
 
 # --- refusal ---------------------------------------------------------------
-#: Phrases that decline; the task word must follow within a few fillers.
-DECLINES = [
-    "can't", "cannot", "can not", "won't", "will not", "unable", "not able", "not possible", "impossible", "rather not", "decline", "declining", "refuse", "refrain", "have to", "going to", "must", "not in a position",
-    "not have permission", "don't have permission", "no permission", "prevent me", "prevents me", "not something", "not feel able", "don't feel able", "not comfortable", "not permitted", "not allowed", "not willing", "not going to", "am not free", "keeps me", "keep me", "stop me", "forbid me", "don't want", "do not want", "not supposed", "couldn't", "could not",
-]
-FILLERS = set("to be able try trying really further have in a position any just simply currently for me from on i i'm am can comfortable it at this time moment possible here willing want please unfortunately and must also feel with help you out going do".split())
-TASKS = re.compile(r"(?:re-?writ|re-?work|re-?styl|re-?phras|re-?vis|edit|process|assist|compl[yie]|produc|fulfil|continu|pass$|passing$|paraphras|polish|transform|handl|convert|translat|generat|provid|improv|refin|adapt|answer|respond|proceed|engag|touch|do$|doing$|help$|helping$)")
-OBJECTS = set("this that the such your it with on these those any a request text passage draft paragraph content".split())
-#: Whole refusals, by pattern, English idioms first, then other languages.
-WHOLE = re.compile(
-    r"(?ix)\b(?:request\s+(?:is\s+|was\s+|has\s+been\s+)?(?:declined|refused|denied|rejected)|falls?\s+outside\s+(?:of\s+)?what\s+i|outside\s+(?:of\s+)?(?:my|the)\s+(?:scope|remit|capabilit\w+|guidelines)"
-    r"|(?:against|violat\w+|breach\w*)\s+my\s+(?:rules|guidelines|policy|policies|principles)|(?:rewriting|editing|processing|reworking|restyling)\s+(?:this|that|such|the)\s+\w+\s+is\s+not\s+(?:something|possible)|i\s+(?:must|have\s+to|need\s+to|respectfully|will|'ll)\s+(?:decline|refuse)|content\s+policy"
-    # Spanish, Portuguese, Italian
-    r"|no\s+(?:me\s+es\s+posible|puedo|podr[eé]|debo|estoy\s+autorizad[oa]|tengo\s+permiso)\b(?:\s+\w+){0,3}?\s+(?:ayudar|reescribir|procesar|editar|cumplir|atender|continuar|reformular|modificar|completar|hacer|tratar|satisfacer)\w*|(?:debo|tengo\s+que)\s+(?:rechazar|declinar|negarme)|rechazo\s+(?:esta|la)\s+(?:petici[oó]n|solicitud)|no\s+puedo\s+(?:hacerlo|hacer\s+eso)"
-    r"|n[aã]o\s+(?:posso|consigo|me\s+é\s+possível|poderei|estou\s+autorizad[oa])\b(?:\s+\w+){0,3}?\s+(?:ajudar|reescrever|processar|editar|cumprir|atender|continuar|reformular|modificar|fazer|tratar)\w*|(?:devo|tenho\s+de|tenho\s+que)\s+recusar|non\s+posso\s+(?:aiutar|riscriver|elaborar|modificar)\w*"
+class TokenAutomaton:
+    """Patterns of words with gaps, all followed at once over a sequence of tokens.
+
+    A pattern is a row of words: ``a|b`` one of several, ``x*`` a beginning,
+    ``w?`` may be absent, ``~3`` up to three other words, ``<name>`` any number
+    of words of a class. A state is a place in a pattern; every token moves all
+    states that are alive, whatever the length of the sequence.
+    """
+
+    def __init__(self, patterns: dict[str, list[str]], classes: dict[str, frozenset[str]]):
+        self.classes = classes
+        self.rows: list[tuple[str, list[tuple]]] = []
+        self.start: dict[str, list[int]] = {}
+        for name, ps in patterns.items():
+            for p in ps:
+                for words in self._spread(p.split()):
+                    row = [self._element(w) for w in words]
+                    for w in row[0][1]:
+                        self.start.setdefault(w, []).append(len(self.rows))
+                    self.rows.append((name, row))
+
+    @staticmethod
+    def _spread(words: list[str]) -> list[list[str]]:
+        out: list[list[str]] = [[]]
+        for w in words:
+            out = [x + [w.rstrip("?")] for x in out] + ([list(x) for x in out] if w.endswith("?") else [])
+        return out
+
+    def _element(self, w: str) -> tuple:
+        if w[0] == "~":
+            return "gap", int(w[1:])
+        if w[0] == "<":
+            return "class", self.classes[w[1:-1]]
+        alternatives = w.split("|")
+        return "word", frozenset(x for x in alternatives if x[-1] != "*"), tuple(x[:-1] for x in alternatives if x[-1] == "*")
+
+    def hits(self, tokens: list[str]) -> Iterator[tuple[str, int, int]]:
+        """(pattern's name, first token, last token) of every match."""
+        alive: list[tuple[int, int, int, int]] = []  # row, place in it, first token, words left in the gap
+        for i, t in enumerate(tokens):
+            if not alive and t not in self.start:
+                continue
+            then = [(r, 0, i, 0) for r in self.start.get(t, ())]
+            alive, now = [], alive + then
+            for r, k, first, left in now:
+                name, row = self.rows[r]
+                e = row[k]
+                if e[0] != "word":  # a gap: stay in it, or take what follows it
+                    if e[0] == "class" and t in e[1]:
+                        alive.append((r, k, first, 0))
+                    elif e[0] == "gap" and left > 0:
+                        alive.append((r, k, first, left - 1))
+                    k += 1
+                    e = row[k]
+                if t in e[1] or e[2] and t.startswith(e[2]):
+                    if k + 1 == len(row):
+                        yield name, first, i
+                    else:
+                        alive.append((r, k + 1, first, row[k + 1][1] if row[k + 1][0] == "gap" else 0))
+
+
+#: Words between a declining phrase and the task.
+FILLERS = frozenset("to be able try trying really further have in a position any just simply currently for me from on i i'm am can comfortable it at this time moment possible here willing want please unfortunately and must also feel with help you out going do".split())
+#: Words for the task, and what it is done to.
+TASK = "rewrit*|rework*|restyl*|rephras*|revis*|edit*|process*|assist*|comply*|compli*|comple*|produc*|fulfil*|continu*|paraphras*|polish*|transform*|handl*|convert*|translat*|generat*|provid*|improv*|refin*|adapt*|answer*|respond*|proceed*|engag*|touch*|pass|passing|do|doing|help|helping"
+OBJECTS = frozenset("this that the such your it with on these those any a request text passage draft paragraph content".split())
+#: Phrases that decline, by what they need beside them.
+DECLINES = {
+    # said by anyone, the task follows
+    "alone": ["can't", "cannot", "can not", "unable", "not able", "not possible", "impossible", "not in a position", "not have permission", "not something", "not feel able", "not comfortable", "not permitted", "not allowed", "not willing", "not going to", "not supposed"],
+    # said in the first person, the task follows
+    "first": ["won't", "will not", "rather not", "decline", "declining", "refuse", "refrain", "don't have permission", "no permission", "prevent me", "prevents me", "don't feel able", "am not free", "keeps me", "keep me", "stop me", "forbid me", "don't want", "do not want", "couldn't", "could not"],
+}
+#: Whole refusals, English idioms first, then other languages.
+WHOLE = [
+    "request is|was|has? been? declined|refused|denied|rejected", "falls|fall outside of? what i", "outside of? my|the scope|remit|capabilit*|guidelines", "against|violate|violates|violating|breach|breaches|breaching my rules|guidelines|policy|policies|principles",
+    "rewriting|editing|processing|reworking|restyling this|that|such|the ~1 is not something|possible", "i must|respectfully|will decline|refuse", "i have|need to decline|refuse", "i'll decline|refuse", "content policy",
+    # Spanish
+    "no puedo|podré|podre|debo ~3 ayudar*|reescribir*|procesar*|editar*|cumplir*|atender*|continuar*|reformular*|modificar*|completar*|hacer*|tratar*|satisfacer*", "no me es posible ~3 ayudar*|reescribir*|procesar*|editar*|cumplir*|atender*|continuar*|reformular*|modificar*|completar*|hacer*|tratar*|satisfacer*",
+    "no estoy autorizado|autorizada ~3 ayudar*|reescribir*|procesar*|editar*|cumplir*|atender*|continuar*|reformular*|modificar*|completar*|hacer*|tratar*|satisfacer*", "no tengo permiso ~3 ayudar*|reescribir*|procesar*|editar*|cumplir*|atender*|continuar*|reformular*|modificar*|completar*|hacer*|tratar*|satisfacer*",
+    "debo rechazar|declinar|negarme", "tengo que rechazar|declinar|negarme", "rechazo esta|la petición|peticion|solicitud", "no puedo hacerlo", "no puedo hacer eso",
+    # Portuguese, Italian
+    "não|nao posso|consigo|poderei ~3 ajudar*|reescrever*|processar*|editar*|cumprir*|atender*|continuar*|reformular*|modificar*|fazer*|tratar*", "não|nao me é possível ~3 ajudar*|reescrever*|processar*|editar*|cumprir*|atender*|continuar*|reformular*|modificar*|fazer*|tratar*",
+    "não|nao estou autorizado|autorizada ~3 ajudar*|reescrever*|processar*|editar*|cumprir*|atender*|continuar*|reformular*|modificar*|fazer*|tratar*", "devo recusar", "tenho de|que recusar", "non posso aiutar*|riscriver*|elaborar*|modificar*",
     # French
-    r"|je\s+ne\s+(?:peux|puis|pourrai|suis|saurais|dois)\s+(?:pas\s+)?(?:\w+\s+){0,4}?(?:traiter|réécrire|reformuler|modifier|aider|répondre|accéder|donner\s+suite|continuer|mesure|retravailler|éditer|satisfaire)|il\s+m['’]est\s+impossible|je\s+(?:dois|préfère)\s+(?:refuser|décliner|ne\s+pas)|je\s+refuse\s+de|ne\s+m['’]est\s+pas\s+possible|ne\s+m['’]autorisent\s+pas"
+    "je ne peux|puis|pourrai|suis|saurais|dois pas? ~4 traiter*|réécrire*|reformuler*|modifier*|aider*|répondre*|accéder*|donner|continuer*|mesure*|retravailler*|éditer*|satisfaire*", "il m'est impossible", "je dois|préfère refuser|décliner", "je dois|préfère ne pas", "je refuse de", "ne m'est pas possible", "ne m'autorisent pas",
     # German
-    r"|(?:kann|darf|möchte|werde)\s+(?:ich\s+)?(?:\w+\s+){0,6}?nicht\s+(?:\w+\s+){0,2}?(?:umschreiben|bearbeiten|helfen|verarbeiten|überarbeiten|erfüllen|umformulieren|behandeln|nachkommen|weiterhelfen|ausführen|liefern|ändern)|(?:muss|möchte)\s+(?:ich\s+)?(?:\w+\s+){0,5}?(?:ablehnen|verweigern)|ist\s+(?:es\s+)?mir\s+(?:\w+\s+){0,3}?nicht\s+(?:möglich|erlaubt|gestattet)|(?:anfrage|bitte)\s+(?:\w+\s+){0,3}?abgelehnt"
+    "kann|darf|möchte|werde ich? ~6 nicht ~2 umschreiben*|bearbeiten*|helfen*|verarbeiten*|überarbeiten*|erfüllen*|umformulieren*|behandeln*|nachkommen*|weiterhelfen*|ausführen*|liefern*|ändern*", "muss|möchte ich? ~5 ablehnen|verweigern", "ist es? mir ~3 nicht möglich|erlaubt|gestattet", "anfrage|bitte ~3 abgelehnt",
     # Polish, Dutch
-    r"|nie\s+(?:mogę|jestem\s+w\s+stanie|wolno\s+mi|będę)\s+(?:\w+\s+){0,4}?(?:pomóc|przepisać|przetworzyć|zredagować|edytować|zrealizować|spełnić|wykonać|przeredagować|przerobić|opracować)|muszę\s+odmówić|odmawiam|kan\s+(?:ik\s+)?(?:\w+\s+){0,4}?niet\s+(?:helpen|herschrijven|bewerken|verwerken)"
+    "nie mogę|będę ~4 pomóc*|przepisać*|przetworzyć*|zredagować*|edytować*|zrealizować*|spełnić*|wykonać*|przeredagować*|przerobić*|opracować*", "nie jestem w stanie ~4 pomóc*|przepisać*|przetworzyć*|zredagować*|edytować*|zrealizować*|spełnić*|wykonać*|przeredagować*|przerobić*|opracować*",
+    "nie wolno mi ~4 pomóc*|przepisać*|przetworzyć*|zredagować*|edytować*|zrealizować*|spełnić*|wykonać*|przeredagować*|przerobić*|opracować*", "muszę odmówić", "odmawiam", "kan ik? ~4 niet helpen|herschrijven|bewerken|verwerken",
     # Russian
-    r"|не\s+(?:могу|смогу|имею\s+права|буду|в\s+состоянии)\s+(?:\w+\s+){0,4}?(?:помочь|переписать|обработать|редактировать|отредактировать|выполнить|переработать|продолжить|помогать|сделать)|(?:вынужден\w*|должен|должна)\s+(?:\w+\s+){0,2}?отказать\w*|отказываюсь)"
-    # Japanese, Chinese, Korean
-    r"|(?:書き直|書き換え|お手伝い|対応|処理|編集|お応え|お受け|ご要望)[^。]{0,12}(?:できません|できかねます|いたしかねます)|お断り(?:します|いたします|しなければ)|(?:无法|不能|無法)(?:协助|帮助|处理|改写|满足|提供|完成|重写|編輯|處理|協助)|도와드릴\s*수\s*없"
-)
-_QUOTED = re.compile(r"[\"“«„][^\"”»“\n]{2,200}[\"”»“]|「[^」\n]{2,200}」")
-_TOK = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
-_SENT = re.compile(r"[^.!?。！？\n]+[.!?。！？]*")
-
-
-def _phrase_ends() -> dict[str, list[tuple[str, ...]]]:
-    out: dict[str, list[tuple[str, ...]]] = {}
-    for p in DECLINES:
-        t = tuple(p.split())
-        out.setdefault(t[0], []).append(t)
-    return out
+    "не могу|смогу|буду ~4 помочь*|переписать*|обработать*|редактировать*|отредактировать*|выполнить*|переработать*|продолжить*|помогать*|сделать*", "не имею права ~4 помочь*|переписать*|обработать*|редактировать*|отредактировать*|выполнить*|переработать*|продолжить*|помогать*|сделать*",
+    "не в состоянии ~4 помочь*|переписать*|обработать*|редактировать*|отредактировать*|выполнить*|переработать*|продолжить*|помогать*|сделать*", "вынужден|вынуждена|вынуждены|должен|должна ~2 отказать*", "отказываюсь",
+]
+REFUSALS = TokenAutomaton(
+    {
+        "alone": [f"{p} <fillers> {TASK}" for p in DECLINES["alone"]], "first": [f"{p} <fillers> {TASK}" for p in DECLINES["first"]],
+        "last": ["decline", "refuse"], "pass": ["have|going to <fillers> pass on", "must <fillers> pass on"], "whole": WHOLE,
+    },
+    {"fillers": FILLERS},
+)
+#: Refusals in languages without spaces: whole ones, and stems that an ending in the same sentence makes one.
+_UNSPACED = [*[a + b for a in ("无法", "不能", "無法") for b in ("协助", "帮助", "处理", "改写", "满足", "提供", "完成", "重写", "編輯", "處理", "協助")], "お断りします", "お断りいたします", "お断りしなければ", "도와드릴 수 없", "도와드릴수 없", "도와드릴 수없", "도와드릴수없"]
+_STEMS, _ENDINGS = ["書き直", "書き換え", "お手伝い", "対応", "処理", "編集", "お応え", "お受け", "ご要望"], ["できません", "できかねます", "いたしかねます"]
+
+
+@lru_cache(1)
+def _unspaced() -> ahocorasick.Automaton:
+    auto = ahocorasick.Automaton()
+    for kind, words in (("whole", _UNSPACED), ("stem", _STEMS), ("ending", _ENDINGS)):
+        for w in words:
+            auto.add_word(w, kind)
+    auto.make_automaton()
+    return auto
 
 
-_BY_FIRST = _phrase_ends()
-_FIRST_PERSON = set("i i'm i'd i'll i've me my".split())
+_QUOTED = re.compile(r"[\"“«„][^\"”»“\n]{2,}[\"”»“]|「[^」\n]{2,}」")
+_TOK = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
+_SENT = re.compile(r"[^.!?。！？\n]+[.!?。！？]*")
+_FIRST_PERSON = frozenset("i i'm i'd i'll i've me my".split())
 
 
-def _declines(tokens: list[str]) -> bool:
-    """Whether a declining phrase is followed, past fillers, by a word for the task and its object."""
-    first = _FIRST_PERSON.isdisjoint(tokens)
-    for i, t in enumerate(tokens):
-        for p in _BY_FIRST.get(t, ()):
-            if tuple(tokens[i : i + len(p)]) != p:
-                continue
-            if first and p[0] not in ("can't", "cannot", "unable", "not", "impossible"):
+def _declines(sentence: str) -> bool:
+    """Whether a sentence declines: a pattern of the automaton, with its object or in the first person."""
+    tokens = _TOK.findall(sentence.lower())
+    mine = not _FIRST_PERSON.isdisjoint(tokens)
+    for name, first, last in REFUSALS.hits(tokens):
+        after = tokens[last + 1] if last + 1 < len(tokens) else None
+        if name == "whole" or name == "pass" and mine or name == "last" and after is None and mine:
+            return True
+        if name == "alone" or name == "first" and mine:
+            if tokens[last] in ("do", "help") and not (after is None or after in OBJECTS or after in ("you", "so")):
                 continue
-            k, n = i + len(p), 0
-            if k >= len(tokens) and p[0] in ("decline", "refuse"):
+            if after != "but" and (mine or after is None or after in OBJECTS or after in ("you", "so", "because", "about", "further")):
+                return True
+    if not sentence.isascii():
+        stem = False
+        for _, kind in _unspaced().iter(sentence):
+            if kind == "whole" or kind == "ending" and stem:
                 return True
-            while k < len(tokens) and n < 9:
-                w = tokens[k]
-                if p[0] in ("have", "going", "must"):  # these decline only with 'pass on'
-                    if w == "pass" and tokens[k + 1 : k + 2] == ["on"]:
-                        return True
-                elif TASKS.match(w) and (w not in ("do", "help") or tokens[k + 1 : k + 2] == [] or tokens[k + 1] in OBJECTS or tokens[k + 1] in ("you", "so")):
-                    nxt = tokens[k + 1 : k + 2]
-                    if not nxt or nxt[0] in OBJECTS or nxt[0] in ("you", "so", "because", "about", "further") or not first:
-                        return nxt != ["but"]
-                if w not in FILLERS:
-                    break
-                k, n = k + 1, n + 1
+            stem = stem or kind == "stem"
     return False
 
 
@@ -128,15 +208,12 @@ def is_refusal(answer: str, prompt: str | None = None) -> bool:
     plain = _QUOTED.sub(" ", answer.replace("’", "'").replace("`", ""))
     sentences = [s for s in _SENT.findall(plain) if WORD.search(s)]
 
-    def declines(s: str) -> bool:
-        return bool(WHOLE.search(s)) or _declines(_TOK.findall(s.lower()))
-
-    if len(sentences) <= 4 and any(map(declines, sentences[:2])):
+    if len(sentences) <= 4 and any(map(_declines, sentences[:2])):
         return True
     around = [bool(_AROUND.search(s)) for s in sentences]
     if 4 * sum(around) < len(sentences) or prompt is not None and _covered(prompt, plain) > 0.35:
         return False
-    said = [declines(s) for s in sentences]
+    said = [_declines(s) for s in sentences]
     return any(said) and 2 * sum(a or b for a, b in zip(around, said)) >= len(sentences)
 
 
@@ -217,9 +294,9 @@ def is_copy(prompt: str, answer: str) -> bool:
         return False
     tries = [answer]
     head, _, rest = answer.strip().partition("\n")
-    if rest and len(WORD.findall(head)) <= 25:
+    if rest:
         tries.append(rest)
-    elif (m := re.match(r"[^.:!?\n]{0,120}[:!]\s+(?:[^.:!?\n]{0,120}:\s+)?", answer)) and len(WORD.findall(m.group())) <= 25:
+    if m := re.match(r"[^.:!?\n]*[:!]\s+(?:[^.:!?\n]*:\s+)?", answer):
         tries.append(answer[m.end() :])
     of = set(p)
     most = max(len(p) // 20, 0)

@@ -236,3 +236,22 @@ def test_em_ends_when_settled(spark):
     bad = "Ça c'est déjà très étrange".encode().decode("cp1252")
     df = spark.createDataFrame([(i, bad if i % 5 == 0 else "plain text", f"s{i % 3}") for i in range(60)], "doc_id bigint, text string, source string")
     assert {r.doc_id for r in mojibake.garbled(df).collect()} == set(range(0, 60, 5))
+
+
+def test_token_automaton():
+    auto = defects.TokenAutomaton({"x": ["not <fill> edit*", "no a? ~2 help|aid", "stop"]}, {"fill": frozenset(["to", "be"])})
+    got = lambda s: [(n, a, b) for n, a, b in auto.hits(s.split())]
+    assert got("do not " + "to be " * 500 + "edited") == [("x", 1, 1002)]
+    assert got("no a b c help") == [("x", 0, 4)] and got("no b c help") == [("x", 0, 3)] and got("no a b c d help") == []
+    assert got("not not edit stop") == [("x", 1, 2), ("x", 3, 3)] and got("") == []
+
+
+@pytest.mark.parametrize("times", [1, 10, 1000])
+def test_defects_have_no_limit_of_length(times):
+    prompt = "The quick analysis shows that seven models agree on the main result, and that one does not."
+    intro = "Here is " + "the very carefully considered " * times + "version of it:"
+    assert defects.defect(prompt, f"{intro}\n\n{prompt}") == "copy" and defects.defect(prompt, f"{intro} {prompt}") == "copy"
+    assert defects.defect(prompt, "… —  " * 200 * times) == "empty"
+    assert defects.defect(prompt, f"I can't {'at this time ' * times}rewrite this passage.") == "refusal"
+    quoted = "He said “" + "I cannot rewrite this text " * times + "” and went on to fix the notebook."
+    assert defects.defect(prompt, quoted) != "refusal"
