@@ -1,7 +1,7 @@
 """A recurrent block labeller: a bidirectional LSTM in numpy over leaf sequences.
 
-Each leaf is read as its kind, its tag path, the hashed words in it and a few
-signs of shape; the labeller gives it a family of notation or 'none', using
+Each leaf is read as its kind, its whole tag path, its first and last words,
+the mean of all hashed words in it and a few signs of shape; the labeller gives it a family of notation or 'none', using
 the document to both sides. It is trained here, on texts made by a grammar of
 the notations and of signs that are meant literally, with random words; the
 number of training texts is a documented parameter.
@@ -9,24 +9,28 @@ number of training texts is a documented parameter.
 
 from __future__ import annotations
 
+import hashlib
+import inspect
 import random
 import re
+import sys
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from draftloom.llm import markup
 from draftloom.llm.markup import FAMILIES, KIND_NO, KINDS, Leaf
-from draftloom.session import spread
+from draftloom.session import shared_dir, spread
+from draftloom.sources.jsonl import read_json, write_json
 
-SHAPES, WORDS_, PATHS = 12, 512, 64
+SHAPES, WORDS_, PATHS = 13, 512, 64
 SIZE = {"kind": 12, "path": 6, "word": 8}
-D = SIZE["kind"] + SIZE["path"] + SIZE["word"] + SHAPES
+D = SIZE["kind"] + SIZE["path"] + 2 * SIZE["word"] + SHAPES
 H = 20
 #: Of each kind, the families it may be given.
 ALLOWED = np.zeros((len(KINDS), len(FAMILIES)), dtype=np.float32)
@@ -36,41 +40,78 @@ for _k, (_, _fams) in KINDS.items():
 _TOKEN = re.compile(r"\w+")
 
 
-@lru_cache(100_000)
-def _bucket(word: str) -> int:
-    return zlib.crc32(word.encode()) % WORDS_
+class _Buckets(dict):
+    """Word -> its number in the table of vectors; any run of digits is one word."""
 
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        n = self[word] = zlib.crc32((word.lower() if not word.isdigit() else "0").encode()) % WORDS_ + 1
+        return n
 
-@lru_cache(10_000)
-def _path_bucket(path: str) -> int:
-    return zlib.crc32(path.encode()) % PATHS
 
+_BUCKET = _Buckets()
+_DIGIT = re.compile(r"\d")
 
-def features(text: str, leaves: list[Leaf]) -> tuple[np.ndarray, np.ndarray]:
-    """Integers (kind, path, four words) and shape signs of each leaf."""
+
+class Features(NamedTuple):
+    """Of the leaves of a text: integers (kind, path, four words), signs of shape, and all words, with how many each leaf has."""
+
+    ints: np.ndarray
+    shape: np.ndarray
+    words: np.ndarray
+    counts: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.ints)
+
+
+def features(text: str, leaves: list[Leaf]) -> Features:
     ints = np.zeros((len(leaves), 6), dtype=np.int32)
     shape = np.zeros((len(leaves), SHAPES), dtype=np.float32)
     n = len(text)
+    every: list[int] = []
+    counts = []
     for i, leaf in enumerate(leaves):
         kind, s, e, path = leaf
         before, after = text[s - 1 : s], text[e : e + 1]
-        if kind in ("text", "code"):
-            head, tail = text[s : min(e, s + 24)], text[max(s, e - 24) : e]
-            words = [*_TOKEN.findall(head)[:2], *_TOKEN.findall(tail)[-2:]]
-            body = tail
-        else:
-            body = text[s : min(e, s + 80)]
-            words = _TOKEN.findall(body)[:4]
+        body = text[s:e]
+        words = [_BUCKET[w] for w in _TOKEN.findall(body)]
+        every += words
+        counts.append(len(words))
+        some = words[:2] + words[-2:] if kind in ("text", "code") else words[:4]
         ints[i, 0] = KIND_NO[kind]
-        ints[i, 1] = _path_bucket(path + markup._block(text, s))
-        for k, w in enumerate(words[:4]):
-            ints[i, 2 + k] = _bucket(w.lower() if not w.isdigit() else "0") + 1
-        inner = body[1:2]
+        ints[i, 1] = (path + ord(markup._block(text, s) or "\n")) % PATHS
+        ints[i, 2 : 2 + len(some)] = some
         shape[i] = (
             before in ("", "\n"), before.isspace(), before.isalnum(), after in ("", "\n"), after.isspace(), after.isdigit(),
-            inner.isdigit(), any(map(str.isdigit, body)), " " in body, e - s > 20, body.isupper(), s == 0 or e == n,
+            body[1:2].isdigit(), _DIGIT.search(body) is not None, " " in body, e - s > 20, body.isupper(), s == 0 or e == n, body.endswith(("}", ">", ")", "]")),
         )
-    return ints, shape
+    return Features(ints, shape, np.array(every, np.int32), np.array(counts, np.int64))
+
+
+class Packed:
+    """The integers [t, n, 6] of a batch, and the words of its leaves in a row, each leaf at its place of t x n."""
+
+    def __init__(self, ints: np.ndarray, words: np.ndarray, place: np.ndarray, counts: np.ndarray):
+        some = counts > 0
+        self.ints, self.words, self.place, self.counts = ints, words, place[some], counts[some]
+        self.starts = np.concatenate([[0], np.cumsum(self.counts)[:-1]]).astype(np.int64) if some.any() else np.zeros(0, np.int64)
+
+    def __getitem__(self, key):
+        return self.ints[key]
+
+    def means(self, table: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.ints.shape[0] * self.ints.shape[1], table.shape[1]), table.dtype)
+        if len(self.words):
+            out[self.place] = np.add.reduceat(table[self.words], self.starts, axis=0) / self.counts[:, None].astype(table.dtype)
+        return out.reshape(*self.ints.shape[:2], -1)
+
+    def spread(self, grads: np.ndarray, into: np.ndarray) -> None:
+        """The gradient of the means, added to the table's."""
+        if len(self.words):
+            each = grads.reshape(-1, grads.shape[-1])[self.place] / self.counts[:, None]
+            np.add.at(into, self.words, np.repeat(each, self.counts, axis=0))
 
 
 class Labeller:
@@ -87,11 +128,11 @@ class Labeller:
         for b in ("bf", "bb"):
             self.p[b][H : 2 * H] = 1.0
 
-    def embed(self, ints: np.ndarray, shape: np.ndarray) -> np.ndarray:
+    def embed(self, ints: Packed, shape: np.ndarray) -> np.ndarray:
         w = ints[..., 2:]
         some = (w > 0)[..., None]
         words = (self.p["ew"][w] * some).sum(-2) / np.maximum(some.sum(-2), 1)
-        return np.concatenate([self.p["ek"][ints[..., 0]], self.p["ep"][ints[..., 1]], words, shape], -1)
+        return np.concatenate([self.p["ek"][ints[..., 0]], self.p["ep"][ints[..., 1]], words, ints.means(self.p["ew"]), shape], -1)
 
     def _run(self, x: np.ndarray, mask: np.ndarray, w: np.ndarray, b: np.ndarray, keep: list | None = None) -> np.ndarray:
         t, n, _ = x.shape
@@ -114,7 +155,7 @@ class Labeller:
             out[k] = h
         return out
 
-    def forward(self, ints: np.ndarray, shape: np.ndarray, mask: np.ndarray, keep: dict | None = None) -> np.ndarray:
+    def forward(self, ints: Packed, shape: np.ndarray, mask: np.ndarray, keep: dict | None = None) -> np.ndarray:
         """Log-probabilities [t, n, family]; both passes see the padding as absent."""
         x = self.embed(ints, shape)
         kf, kb = ([], []) if keep is not None else (None, None)
@@ -147,7 +188,7 @@ class Labeller:
             dc = dc2 * f + dc * (1 - m)
         return dw, db, dx
 
-    def gradients(self, ints: np.ndarray, shape: np.ndarray, mask: np.ndarray, gold: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    def gradients(self, ints: Packed, shape: np.ndarray, mask: np.ndarray, gold: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         keep: dict = {}
         logp = self.forward(ints, shape, mask, keep)
         total = max(mask.sum(), 1.0)
@@ -171,6 +212,7 @@ class Labeller:
         g["ew"] = np.zeros_like(self.p["ew"])
         for k in range(w.shape[-1]):
             np.add.at(g["ew"], w[..., k].ravel(), (dw * (w[..., k : k + 1] > 0)).reshape(-1, SIZE["word"]))
+        ints.spread(dx[..., b + SIZE["word"] : b + 2 * SIZE["word"]], g["ew"])
         return loss, g
 
     def label(self, texts: list[str], scanned: list[list[Leaf]], batch: int = 256) -> list[list[str]]:
@@ -190,12 +232,13 @@ class Labeller:
         return out
 
 
-def pack(rows: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    t = max(len(r[0]) for r in rows)
+def pack(rows: list[Features]) -> tuple[Packed, np.ndarray, np.ndarray]:
+    t = max(map(len, rows))
     ints, shape, mask = np.zeros((t, len(rows), 6), np.int32), np.zeros((t, len(rows), SHAPES), np.float32), np.zeros((t, len(rows)), np.float32)
-    for n, (i, s) in enumerate(rows):
-        ints[: len(i), n], shape[: len(i), n], mask[: len(i), n] = i, s, 1.0
-    return ints, shape, mask
+    for n, f in enumerate(rows):
+        ints[: len(f), n], shape[: len(f), n], mask[: len(f), n] = f.ints, f.shape, 1.0
+    place = np.concatenate([np.arange(len(f)) * len(rows) + n for n, f in enumerate(rows)])
+    return Packed(ints, np.concatenate([f.words for f in rows]), place, np.concatenate([f.counts for f in rows])), shape, mask
 
 
 # --- training texts --------------------------------------------------------
@@ -213,6 +256,8 @@ class Grammar:
         return x
 
     def phrase(self, a: int = 1, b: int = 4) -> str:
+        if a == 1 and self.r.random() < 0.06:
+            return self.r.choice("abcdefghijklmnopqrstuvwxyz")
         return " ".join(self.r.choice(self.words) for _ in range(self.r.randint(a, b)))
 
     def sentence(self) -> list[str]:
@@ -233,9 +278,18 @@ class Grammar:
             return "markdown", r.choice([f"*{x}*", f"_{x}_", f"**{x}**", f"__{x}__", f"~~{x}~~", f"`{x}`", f"[{x}](./{p(1, 1)}.md)", f'[{x}](<./{p(1, 1)}/> "{p(1, 1)}")', f"![{x}](img/{p(1, 1)}.png)", f"[{x}][{r.choice(['ref', 'r', 'note'])}{n}]", f"[{x}][]", f"[{x}]{{.{p(1, 1)}}}", f"[@{p(1, 1)}{1900 + n % 130}]", f"[see @{p(1, 1)}{1990 + n % 40}, p. {n}]", f"^[{x}]", f"[^{n % 9 + 1}]", f"<https://{p(1, 1)}.org>"])
         if k == 2:
             x = p(1, 2)
-            return "wiki", r.choice([f"[[{x}]]", f"[[{x.title()}|{p()}]]", f"[[File:{p(1, 1)}.png|thumb|{x}]]", f"[[Category:{x}]]", f"'''{x}'''", f"''{x}''", f"{{{{{p(1, 1)}|{x}}}}}", f"{{{{citation needed|date={p(1, 1)}}}}}", f"[https://{p(1, 1)}.org/w {x}]", f"{{{{Infobox|name={x}|size={n}}}}}"])
+            return "wiki", r.choice([f"[[{x}]]", f"[[{x.title()}|{p()}]]", f"[[File:{p(1, 1)}.png|thumb|{x}]]", f"[[Category:{x}]]", f"'''{x}'''", f"''{x}''", f"{{{{{p(1, 1)}|{x}}}}}", f"{{{{citation needed|date={p(1, 1)}}}}}", f"[https://{p(1, 1)}.org/w {x}]", f"{{{{Infobox|name={x}|size={n}}}}}", self.template()])
         x = p(1, 2)
-        return "latex", r.choice([f"\\emph{{{x}}}", f"\\textbf{{{x}}}", f"\\cite{{{p(1, 1)}}}", f"\\ref{{sec:{p(1, 1)}}}", f"~\\cite{{{p(1, 1)}}}", f"\\footnote{{{x}}}", f"$x_{{{n}}}$", f"$\\alpha = {n}$", f"$k={n}$", f"$a + b$", f"$n$", f"$x^2$", f"$f(x) = {n}x$", f"\\(x_i + {n}\\)", f"na\\\"{{\\i}}ve", "caf\\'e", f"\\texttt{{{x}}}", "\\LaTeX", "\\ldots", "100\\%", f"\\href{{https://x.org}}{{{x}}}"])
+        return "latex", r.choice([f"\\emph{{{x}}}", f"\\textbf{{{x}}}", f"\\cite{{{p(1, 1)}}}", f"\\ref{{sec:{p(1, 1)}}}", f"~\\cite{{{p(1, 1)}}}", f"\\footnote{{{x}}}", f"$x_{{{n}}}$", f"$\\alpha = {n}$", f"$k={n}$", f"$a + b$", f"$n$", f"$x^2$", f"$f(x) = {n}x$", f"\\(x_i + {n}\\)", f"na\\\"{{\\i}}ve", "caf\\'e", f"\\texttt{{{x}}}", "\\LaTeX", "\\ldots", "100\\%", f"\\href{{https://x.org}}{{{x}}}", self.sum()])
+
+    def sum(self) -> str:
+        """A formula of any length."""
+        return "$" + " + ".join(f"{self.r.choice('abcxyz')}_{{{i}}} {self.r.choice(['x', 't', 'n'])}^{i}" for i in range(self.r.choice([2, 6, 30, 90]))) + "$"
+
+    def template(self) -> str:
+        """A template of any length, with others in it."""
+        inner = self.r.choice([f"{{{{{self.phrase(1, 1)}|{self.phrase()}}}}}", f"[[{self.phrase()}]]", self.phrase(1, 60)])
+        return "{{" + self.phrase(1, 1).capitalize() + "".join(f"\n| {self.phrase(1, 1)} = {x}" for x in (inner, *[self.phrase(1, 9) for _ in range(self.r.choice([1, 3, 30]))])) + self.r.choice(["", "\n"]) + "}}"
 
     def literal(self) -> str:
         r, p, n, m = self.r, self.phrase, self.r.randint(1, 999), self.r.randint(1, 99)
@@ -244,6 +298,7 @@ class Grammar:
             f"{p(1, 1)} <- {n}", f"~{n} {p(1, 1)}", f"{n}% more -- or {m}% less --", f"x^{n} where x_{m} was meant", f"a == b == c", "wrote [sic] after", "and [...] before", f"the call a[{n}][{m}] reads", f"{p(1, 1)}[{n}][{m}]", f"[{n}, {m}]", f"m[i][j] and a[0]",
             f"the set {{{n}, {m}}} was", f"C:\\temp\\{p(1, 1)}{n} holds", f"D:\\{p(1, 1)}\\{p(1, 1)}", f"the path C:\\{p(1, 1)}\\runs{n}", "the R&D team", "AT&T and Q&A", f"ticket #{n}", f"{n}/{m} (or {n}:{m})", f"{p(1, 1)}_{p(1, 1)}_{p(1, 1)}", "*.txt and *.csv", "~/data and ~/bin",
             f"{p(1, 1)}@{p(1, 1)}.org", f"vector<int> or List<T>", f"<{n} or >{m}", f"x > {n} & y < {m}", f"{n} | {m}", f"5 * x * {n}", f"i <= {n} && j >= {m}", f"a^b^c", f"pay $5, then $10, then ${n}", f"US$ {n} or $ {m}", f"f(a*b, c*d)", "2 * x * y", f"* {n} *",
+            f"paid ${n} {p(10, 90)} and ${m} {p(1, 9)}", f"${n} {p(10, 90)} for ${m}.", f"where {n} < {p(12, 30)} and {m} > 2", f"[{p(8, 20)}]", f"({n} [of {m}] {p(9, 30)} [{n}])",
         ])
 
     def code(self) -> str:
@@ -262,7 +317,7 @@ class Grammar:
         if k < 6:
             return "html", r.choice([f"<ul>\n<li>{p()}</li>\n<li>{p()}</li>\n</ul>", f"<table><tr><th>{p()}</th></tr><tr><td>{p()}</td></tr></table>", f"<h{n % 6 + 1}>{p()}</h{n % 6 + 1}>", f"<pre><code>{self.code()}</code></pre>", f"<script>var {p(1, 1)} = {n};</script>", f"<style>.{p(1, 1)} {{ color: red }}</style>", f"<P>{p(3, 6)}.<P>", f'<div class="note">{p()}<br>{p()}</div>', f"<blockquote>{p()}</blockquote>"])
         if k < 8:
-            return "wiki", r.choice([f"{'=' * r.randint(2, 4)} {p()} ==", f"== {p()} ==", f"=== {p()} ===", f'{{| class="wikitable"\n! {p()} !! {p()}\n|-\n| {n} || {p()}\n|}}', f"; {p(1, 2)}: {p()}", f";{p(1, 2)}\n:{p(2, 4)}", f": {p(2, 5)}", f"[[Category:{p()}]]", f"{{{{Infobox|name={p()}|size={n}}}}}"])
+            return "wiki", r.choice([f"{'=' * r.randint(2, 4)} {p()} ==", f"== {p()} ==", f"=== {p()} ===", f'{{| class="wikitable"\n! {p()} !! {p()}\n|-\n| {n} || {p()}\n|}}', f"; {p(1, 2)}: {p()}", f";{p(1, 2)}\n:{p(2, 4)}", f": {p(2, 5)}", f"[[Category:{p()}]]", f"{{{{Infobox|name={p()}|size={n}}}}}", self.template()])
         return "latex", r.choice([f"\\section{{{p()}}}", f"\\subsection*{{{p()}}}", f"\\begin{{itemize}}\n\\item {p()}\n\\item {p()}\n\\end{{itemize}}", f"\\begin{{equation}}\nx^2 = {n} x + 1 \\label{{eq:{p(1, 1)}}}\n\\end{{equation}}", f"$$\n\\sum_{{i=1}}^{{{n}}} x_i = \\frac{{1}}{{{n}}}\n$$", f"\\[ \\int_0^{n} x^2 \\, dx \\]", f"\\begin{{verbatim}}\n{self.code()}\n\\end{{verbatim}}", f"$$ a + b = {n} $$"])
 
     def text(self) -> tuple[str, list[tuple[int, int, str]]]:
@@ -278,6 +333,13 @@ class Grammar:
                 spans.append((len(out), len(out) + len(s), fam))
                 out += s
                 continue
+            if r.random() < 0.1:  # notations close to one another
+                for k in range(r.randint(2, 5)):
+                    fam, s = self.inline() if r.random() < 0.8 else ("none", self.literal())
+                    out += r.choice([" ", " and ", ", ", f" {self.w()} "]) if k else ""
+                    spans.append((len(out), len(out) + len(s), fam))
+                    out += s
+                continue
             for _ in range(r.randint(1, 3)):
                 words = self.sentence()
                 at = r.randrange(1, len(words))
@@ -295,10 +357,12 @@ class Grammar:
                     out += x + (" " if i < len(words) - 1 else "")
                 out += " "
             out = out.rstrip(" ")
+        if r.random() < 0.3:  # lines broken within paragraphs and notations, where the next word is plain
+            out = re.sub(r"(?<=[a-z]) (?=[a-z]{2})", lambda m: "\n" if r.random() < 0.1 and not out.rfind("\n", 0, m.start()) < 0 and out[out.rfind("\n", 0, m.start()) + 1 : m.start()][:1].isalpha() else " ", out)
         return out, spans
 
 
-def training_rows(n: int, seed: int) -> list[tuple[tuple[np.ndarray, np.ndarray], np.ndarray, str]]:
+def training_rows(n: int, seed: int) -> list[tuple[Features, np.ndarray, str]]:
     g, rows = Grammar(seed), []
     while len(rows) < n:
         text, spans = g.text()
@@ -344,10 +408,41 @@ def train(texts: int = 3200, epochs: int = 6, batch: int = 32, rate: float = 0.0
     return net
 
 
-@lru_cache(1)
-def trained() -> Labeller:
-    """The labeller with its production parameters, trained once a process."""
-    return train()
+_TRAINED: list[Labeller] = []
+
+
+def trained(spark: SparkSession | None = None) -> Labeller:
+    """The labeller with its production parameters, trained once.
+
+    With a session the weights are kept in the shared folder, under a name made
+    of the training parameters and of this module, so that other processes
+    read them instead of training again.
+    """
+    if not _TRAINED:
+        at = None
+        if spark is not None:
+            told = "".join(inspect.getsource(m) for m in (sys.modules[__name__], markup)) + repr(train.__defaults__)
+            at = f"{shared_dir(spark).rstrip('/')}/labeller-{hashlib.sha256(told.encode()).hexdigest()[:16]}.json"
+        net = _stored(spark, at) if at else None
+        if net is None:
+            net = train()
+            if at:
+                write_json(spark, at, {"schema_version": 1, "weights": {k: v.astype(float).ravel().tolist() for k, v in net.p.items()}})
+        _TRAINED.append(net)
+    return _TRAINED[0]
+
+
+def _stored(spark: SparkSession, path: str) -> Labeller | None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        return None
+    try:
+        weights = read_json(spark, path, 1)["weights"]
+    except ValueError:  # written in part by a process that was lost
+        return None
+    net = Labeller(0)
+    net.p = {k: np.array(weights[k], np.float32).reshape(v.shape) for k, v in net.p.items()}
+    return net
 
 
 # --- on tables -------------------------------------------------------------
@@ -363,7 +458,7 @@ def families(rows: DataFrame, id_col: str, texts: Column, net: Labeller | None =
     Null arrays and null, empty or plain texts give no row; rows that repeat an
     id are taken together; null ids are left out. Every text is read whole.
     """
-    net = net or trained()
+    net = net or trained(rows.sparkSession)
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -388,7 +483,7 @@ def cleaned(rows: DataFrame, id_col: str, field: Column, text: Column, net: Labe
     in ``blocks`` and their place in ``clean``. A null text stays null, with no
     blocks; a plain one is one block of role text.
     """
-    net = net or trained()
+    net = net or trained(rows.sparkSession)
     schema = "rec_id bigint, field string, families array<string>, clean string, blocks array<struct<role:string,text:string>>"
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

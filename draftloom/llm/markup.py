@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from typing import NamedTuple
 
 FAMILIES = ["none", "html", "markdown", "wiki", "latex"]
@@ -73,7 +74,7 @@ class Leaf(NamedTuple):
     kind: str
     start: int
     end: int
-    path: str
+    path: int  # a hash of the names of all open tags
 
 
 #: Names of HTML elements.
@@ -82,7 +83,7 @@ _TAG = "(?:" + "|".join(sorted(_TAGS, key=len, reverse=True)) + ")"
 _ATTR = r"(?:\s+[A-Za-z_:@][\w:.-]*(?:\s*=\s*(?:\"[^\"<>]*\"|'[^'<>]*'|[^\s\"'<>=`]+))?)*"
 
 _CODE_BLOCKS = re.compile(
-    r"(?P<fence>^[ ]{0,3}(?P<f>`{3,}|~{3,})[^\n`]*\n)(?P<fbody>.*?)(?P<fend>^[ ]{0,3}(?P=f)[`~]*[ \t]*$|\Z)"
+    r"(?P<fence>^[ \t]*(?P<f>`{3,}|~{3,})[^\n`]*\n)(?P<fbody>.*?)(?P<fend>^[ \t]*(?P=f)[`~]*[ \t]*$|\Z)"
     r"|(?P<pre><(?P<t>pre|script|style|nowiki|textarea)\b[^>]*>(?:\s*<code\b[^>]*>)?)(?P<pbody>.*?)(?P<pend>(?:</code\s*>\s*)?</(?P=t)\s*>|\Z)"
     r"|(?P<verb>\\begin\{(?P<v>verbatim\*?|lstlisting|minted|Verbatim|alltt)\}(?:\[[^\]\n]*\])?(?:\{[^}\n]*\})?)(?P<vbody>.*?)(?P<vend>\\end\{(?P=v)\}|\Z)"
     r"|(?P<vline>\\verb\*?(?P<d>[^\w\s*])[^\n]*?(?P=d))"
@@ -112,21 +113,21 @@ _SETEXT = re.compile(r"^(?P<setext>[^\s>|\#\-*=+:;!{\[\\<$][^\n]*\n[ ]{0,3}(?:-{
 #: Signs that can begin notation within a line, and the notations to try there, in order.
 _TRIGGER = re.compile(r"[<&\[{\\$*_~`^@|%>]|''|==|->|!\[")
 _AT: dict[str, list[str]] = {
-    "<": [r"(?P<comment><!--.*?-->)", rf"(?P<tag><(?i:!DOCTYPE[^>]*|{_TAG}{_ATTR}\s*/?)>)", rf"(?P<endtag></(?i:{_TAG})\s*>)", r"(?P<autolink><(?:https?://|mailto:)[^\s<>]+>)", r"(?P<angle></?[A-Za-z][A-Za-z0-9-]*[^<>\n]{0,60}>)", r"(?P<sign><-?)"],
+    "<": [r"(?P<comment><!--.*?-->)", rf"(?P<tag><(?i:!DOCTYPE[^>]*|{_TAG}{_ATTR}\s*/?)>)", rf"(?P<endtag></(?i:{_TAG})\s*>)", r"(?P<autolink><(?:https?://|mailto:)[^\s<>]+>)", r"(?P<angle></?[A-Za-z][A-Za-z0-9-]*[^<>\n]*>)", r"(?P<sign><-?)"],
     "&": [r"(?P<entity>&(?:[A-Za-z][A-Za-z0-9]{1,31}|\#[0-9]{1,7}|\#[xX][0-9A-Fa-f]{1,6});)", r"(?P<sign>&)"],
-    "!": [r"(?P<image>!\[[^\]\n]*\](?:\([^)\n]*\)|\[[^\]\n]*\])(?:\{[^}\n]*\})?)"],
+    "!": [r"(?P<image>!\[(?:[^\[\]\n]|\n(?![ \t]*\n))*\](?:\([^)\n]*\)|\[[^\]\n]*\])(?:\{[^}\n]*\})?)"],
     "[": [
-        r"(?P<wikilink>\[\[[^\[\]\n]+(?:\[\[[^\[\]\n]*\]\][^\[\]\n]*)*\]\])", r"(?P<wikiurl>\[(?:https?:)?//[^\s\]]+(?:[ \t]+[^\]\n]*)?\](?!\())", r"(?P<noteref>\[\^[^\]\s]+\])", r"(?P<cite>\[[^\]\n]*-?@[\w:.\#$%&+?<>~/-]+[^\]\n]*\])",
-        r"(?P<link>\[[^\[\]\n]*\]\([^()\n]*(?:\([^()\n]*\)[^()\n]*)*\)(?:\{[^}\n]*\})?)", r"(?P<span>\[[^\[\]\n]+\]\{[^}\n]+\})", r"(?P<reflink>(?<!\w)\[[^\[\]\n]+\][ ]?\[[^\[\]\n]*\])", r"(?P<bracket>\[[^\]\n]{0,40}\])",
+        r"(?P<wikilink>\[\[[^\[\]\n]+(?:\[\[[^\[\]\n]*\]\][^\[\]\n]*)*\]\])", r"(?P<wikiurl>\[(?:https?:)?//[^\s\]]+(?:[ \t]+[^\]\n]*)?\](?!\())", r"(?P<noteref>\[\^[^\]\s]+\])", r"(?P<cite>\[[^\[\]\n@]*@[\w:.\#$%&+?<>~/-]+[^\[\]\n]*\])",
+        r"(?P<link>\[(?:[^\[\]\n]|\n(?![ \t]*\n))*\]\([^()\n]*(?:\([^()\n]*\)[^()\n]*)*\)(?:\{[^}\n]*\})?)", r"(?P<span>\[[^\[\]\n]+\]\{[^}\n]+\})", r"(?P<reflink>(?<!\w)\[[^\[\]\n]+\][ ]?\[[^\[\]\n]*\])", r"(?P<bracket>\[[^\[\]\n]*\])",
     ],
-    "{": [r"(?P<template>\{\{[^{}]{1,2000}\}\})", r"(?P<attr>\{(?:[.\#][A-Za-z][\w-]*|[\w-]+=[^\s}]+)(?:\s+[^}\n]*)?\})"],
+    "{": [r"(?P<attr>\{(?:[.\#][A-Za-z][\w-]*|[\w-]+=[^\s}]+)(?:\s+[^}\n]*)?\})"],
     "\\": [
         r"(?P<env>\\(?:begin|end)\{[A-Za-z]+\*?\}(?:\[[^\]\n]*\])?)", r"(?P<section>\\(?:part|chapter|section|subsection|subsubsection|paragraph|title)\*?\{[^{}\n]*\})", r"(?P<item>\\item\b(?:\[[^\]\n]*\])?[ \t]*)", r"(?P<inline>\\\(.+?\\\))",
         r"(?P<accent>\\[\"'`^~=.uvHck](?:\{(?:\\[ij]|[A-Za-z])\}|\\[ij]\b|(?<=[\"'`^~=.])[A-Za-z]))", r"(?P<command>\\[A-Za-z@]+\*?(?:\[[^\]\n]*\])*(?:\{(?:[^{}\n]|\{[^{}\n]*\})*\})*|\\[%$&\#_{}~^\\,;:! ])",
     ],
     "~": [r"(?P<command>~\\[A-Za-z@]+\*?(?:\[[^\]\n]*\])*(?:\{(?:[^{}\n]|\{[^{}\n]*\})*\})+)", r"(?P<strike>~~(?![\s~])[^~\n]+?~~)", r"(?P<sign>~+)"],
-    "$": [r"(?P<dollar>(?<![\\\w$])\$(?!\s)[^$\n]{1,300}?(?<!\\)\$(?!\$))", r"(?P<sign>\$+[\d.,]*)"],
-    "*": [r"(?P<strong>\*\*(?!\s)[^*\n]+?(?<!\s)\*\*)", r"(?P<emph>(?<!\*)\*(?![\s*)])[^*\n]+?(?<![\s*(])\*(?![\w*]))", r"(?P<sign>\*+)"],
+    "$": [r"(?P<dollar>(?<![\\\w$])\$(?!\s)[^$\n]+?(?<!\\)\$(?!\$))", r"(?P<sign>\$+[\d.,]*)"],
+    "*": [r"(?P<strong>\*\*(?!\s)(?:[^*\n]|\n(?![ \t]*(?:\n|[-+*>#|]|\d+[.)])))+?(?<!\s)\*\*)", r"(?P<emph>(?<!\*)\*(?![\s*)])(?:[^*\n]|\n(?![ \t]*(?:\n|[-+*>#|]|\d+[.)])))+?(?<![\s*(])\*(?![\w*]))", r"(?P<sign>\*+)"],
     "_": [r"(?P<strong>(?<!\w)__(?!\s)[^_\n]+?(?<!\s)__(?!\w))", r"(?P<under>(?<![\w_])_(?![\s_])[^_\n]+?(?<![\s_])_(?![\w_]))", r"(?P<sign>_+)"],
     "`": [r"(?P<tick>(?<!`)(?P<bt>`{1,2})(?!`)[^\n]+?(?<!`)(?P=bt)(?!`))"],
     "'": [r"(?P<wikibold>'{2,5}[^'\n]+'{2,5})"],
@@ -142,6 +143,25 @@ _BLOCK_SIGNS = ("```", "~~~", "<pre", "<script", "<style", "<nowiki", "<textarea
 _NAME = re.compile(r"\w+")
 
 
+#: Tags whose end may be left out: another of the name ends the one before it.
+_IMPLIED = frozenset("p li td th tr dt dd option".split())
+_SEED = 7
+
+
+def _templates(text: str) -> dict[int, int]:
+    """Start -> end of the outermost balanced ``{{...}}`` at each start, of any length and with others in them."""
+    out: dict[int, int] = {}
+    opened: list[int] = []
+    for m in re.finditer(r"\{\{|\}\}", text) if "{{" in text else ():
+        if m.group() == "{{":
+            opened.append(m.start())
+        elif opened and m.start() > opened[-1] + 2:
+            out[opened.pop()] = m.end()
+        elif opened:
+            opened.pop()
+    return out
+
+
 def _block(text: str, at: int) -> str:
     """The block that a position lies in, by the first signs of its line."""
     line = text.rfind("\n", 0, at) + 1
@@ -152,19 +172,24 @@ def _block(text: str, at: int) -> str:
 def scan(text: str) -> list[Leaf]:
     """The leaves of a text whose lines end in LF, in order and without gaps; [] if no leaf can be markup."""
     out: list[Leaf] = []
-    path: list[str] = []
+    path: list[tuple[str, int]] = [("", _SEED)]  # the open tags, each with the hash of the path to it
     found = False
+    templates = _templates(text)
+    last_comment = text.rfind("-->")  # none can end after it
+    last_inline = text.rfind("\\)")
 
     def add(kind: str, s: int, e: int) -> None:
         nonlocal found
         found = True
-        if kind == "endtag" and path:
+        if kind == "endtag" and len(path) > 1:
             path.pop()
-        out.append(Leaf(kind, s, e, "/".join(path[-3:])))
-        if kind == "tag" and text[s + 1] != "!" and not text.startswith("/>", e - 2) and len(path) < 64:
+        out.append(Leaf(kind, s, e, path[-1][1]))
+        if kind == "tag" and text[s + 1] != "!" and not text.startswith("/>", e - 2):
             name = _NAME.match(text, s + 1).group().lower()
             if name not in ("br", "hr", "img", "input", "meta", "link", "wbr"):
-                path.append(name)
+                if path[-1][0] == name and name in _IMPLIED:
+                    path.pop()
+                path.append((name, (path[-1][1] * 31 + zlib.crc32(name.encode())) & 0x7FFFFFFF))
 
     def plain(a: int, b: int) -> None:
         at = pos = a
@@ -177,7 +202,7 @@ def scan(text: str) -> list[Leaf]:
                 m = _LINE.match(text, pos, b) if j < b and text[j] in _LINE_SIGNS else None
                 if m and m.end() > pos:
                     if at < pos:
-                        out.append(Leaf("text", at, pos, "/".join(path[-3:])))
+                        out.append(Leaf("text", at, pos, path[-1][1]))
                     add(_NAMES.get(m.lastgroup, m.lastgroup), pos, m.end())
                     at = pos = m.end()
                     continue
@@ -191,17 +216,25 @@ def scan(text: str) -> list[Leaf]:
                 continue
             if k >= b:
                 break
-            d = _DISPATCH.get(text[k])
-            m = d.match(text, k, b) if d else None
-            if not m:
-                pos = k + 1
-                continue
+            end = templates.get(k)
+            if end is not None and end <= b:
+                kind = "template"
+            else:
+                c = text[k]
+                d = _DISPATCH.get(c)
+                if c == "<" and last_comment < k and text.startswith("<!--", k) or c == "\\" and last_inline < k and text.startswith("\\(", k):
+                    d = None  # never closed
+                m = d.match(text, k, b) if d else None
+                if not m:
+                    pos = k + 1
+                    continue
+                kind, end = _NAMES.get(m.lastgroup, m.lastgroup), m.end()
             if at < k:
-                out.append(Leaf("text", at, k, "/".join(path[-3:])))
-            add(_NAMES.get(m.lastgroup, m.lastgroup), k, m.end())
-            at = pos = m.end()
+                out.append(Leaf("text", at, k, path[-1][1]))
+            add(kind, k, end)
+            at = pos = end
         if at < b:
-            out.append(Leaf("text", at, b, "/".join(path[-3:])))
+            out.append(Leaf("text", at, b, path[-1][1]))
 
     def inline(a: int, b: int) -> None:
         if a < b and ("\n--" in text or "\n==" in text or "\n -" in text):
@@ -215,7 +248,7 @@ def scan(text: str) -> list[Leaf]:
     if any(x in text for x in _BLOCK_SIGNS):
         for m in _CODE_BLOCKS.finditer(text):
             inline(at, m.start())
-            here = "/".join(path[-3:])
+            here = path[-1][1]
             if m.group("fence") is not None:
                 parts = [("fence", "fence"), ("code", "fbody"), ("fence", "fend")]
             elif m.group("pre") is not None:
@@ -229,7 +262,7 @@ def scan(text: str) -> list[Leaf]:
             found = True
             for kind, g in parts:
                 if m.end(g) > m.start(g):
-                    out.append(Leaf(kind, m.start(g), m.end(g), f"{here}/{g}"))
+                    out.append(Leaf(kind, m.start(g), m.end(g), (here * 31 + zlib.crc32(g.encode())) & 0x7FFFFFFF))
             at = m.end()
     inline(at, len(text))
     return out if found else []

@@ -255,3 +255,36 @@ def test_defects_have_no_limit_of_length(times):
     assert defects.defect(prompt, f"I can't {'at this time ' * times}rewrite this passage.") == "refusal"
     quoted = "He said “" + "I cannot rewrite this text " * times + "” and went on to fix the notebook."
     assert defects.defect(prompt, quoted) != "refusal"
+
+
+@pytest.mark.parametrize("times", [1, 10, 1000])
+def test_notations_of_any_length(net, times):
+    """Templates, formulas, brackets and tags far above any length seen in training."""
+    words = " ".join(["alpha beta gamma"] * 100 * times)
+    assert labeller.found_families([f"Before {{{{Infobox | name = {words} | in = {{{{nested|x}}}} }}}} after."], net)[0] == {"wiki"}
+    formula = " + ".join(f"a_{{{i}}} x^{i}" for i in range(40 * times))
+    assert labeller.found_families([f"We know that ${formula}$ holds here."], net)[0] == {"latex"}
+    assert labeller.found_families([f"We paid $5 {words} and then $7 for it."], net)[0] == set()
+    assert [x.kind for x in markup.scan(f"a [{words}] b")] == ["text", "bracket", "text"]
+    assert [x.kind for x in markup.scan(f"a {{{{x|{words}|{{{{y}}}} {{{{z|{{{{w}}}}}}}} }}}} b")] == ["text", "template", "text"]
+
+
+def test_scan_is_not_quadratic(net):
+    import time
+
+    for text in ("<!-- " * 40000, "[" * 200000, "$x " * 60000, "{{" * 60000, "\\( " * 40000, "<b " * 60000, "![" * 60000, "<li>x " * 40000, "* " * 60000):
+        start = time.time()
+        markup.scan(text)
+        assert time.time() - start < 20, text[:10]
+
+
+def test_weights_are_kept(spark, net, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(labeller, "_TRAINED", [])
+    monkeypatch.setattr(labeller, "train", lambda *a: net)
+    monkeypatch.setattr(labeller.train, "__defaults__", (1,))
+    labeller.trained(spark)
+    monkeypatch.setattr(labeller, "_TRAINED", [])
+    again = labeller.trained(spark)
+    assert again is not net and all((again.p[k] == net.p[k]).all() and again.p[k].dtype == np.float32 for k in net.p)
