@@ -8,9 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from draftloom.functions import text
-from draftloom.functions.blocks import body_chunks_udf
-from draftloom.operators.pairs import per_target_cap
+from draftloom.functions.blocks import body_chunks_udf, lost_anchors
+from draftloom.operators.pairs import content, first_n, per_target_cap
 
 
 def training_corpus(pairs: DataFrame, problems: Column, val_posts: DataFrame, role: Column | None = None, wanted: str | None = None, selector: Column | None = None, cap: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -63,45 +62,106 @@ def best_of(candidates: DataFrame, key: list[str]) -> DataFrame:
     return candidates.groupBy(*key).agg(F.min_by(F.struct("idx", "score", "text"), first).alias("_b")).select(*key, "_b.*")
 
 
+#: (a passage under its heading, how many) -> candidates.
 Styler = Callable[[str, int], list[str]]
+Scorer = Callable[[str], float]
+
+
+def _choose(chunk: str, context: str | None, styler: Styler, scorer: Scorer | None, n: int, guard: bool) -> tuple[list[str], list[float | None], int | None, int, str]:
+    """(candidates, their scores, the chosen one, how many were refused, the decision in words) for one prose chunk."""
+    head = f"{context}\n\n" if context else ""
+    said = [c[len(head) :] if head and c.startswith(head) else c for c in styler(head + chunk, n) if c and c.strip()]
+    said = [c.strip() for c in said if c.strip()]
+    lost = [lost_anchors(chunk, c) if guard else [] for c in said]
+    kept = [i for i, gone in enumerate(lost) if not gone]
+    scores: list[float | None] = [None] * len(said)
+    refused = len(said) - len(kept)
+    if not kept:
+        gone = sorted({x for xs in lost for x in xs})
+        return said, scores, None, refused, f"kept input (all {refused} sample(s) lost anchors: {', '.join(gone[:3])}{'…' if len(gone) > 3 else ''})" if gone else "kept input (no usable sample)"
+    if scorer is None:
+        return said, scores, kept[0], refused, f"sample 1/{len(kept)}"
+    for i in kept:
+        scores[i] = float(scorer(said[i]))
+    base, best = float(scorer(chunk.strip())), min(kept, key=lambda i: scores[i])
+    if scores[best] < base:
+        return said, scores, best, refused, f"sample {kept.index(best) + 1}/{len(kept)} (score {scores[best]:.2f} < input {base:.2f})"
+    return said, scores, None, refused, f"kept input (best sample {scores[best]:.2f} >= input {base:.2f})"
+
+
+def _edged(chunk: str, out: str) -> str:
+    """A candidate with the line ends that the chunk had around it."""
+    return chunk[: len(chunk) - len(chunk.lstrip("\n"))] + out.strip("\n") + chunk[len(chunk.rstrip("\n")) :]
+
+
+def _decided(docs: DataFrame, styler: Styler, scorer: Scorer | None, n: int, guard: bool, max_chars: int) -> DataFrame:
+    """A row a chunk of every document: kind, context, input, candidates, scores, chosen, refused, decision, text, sep."""
+    ch = docs.select("doc_id", F.posexplode(body_chunks_udf(F.coalesce("text", F.lit("")), max_chars)).alias("pos", "c")).select("doc_id", "pos", "c.*")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for d, p, kind, chunk, sep, context in zip(b["doc_id"], b["pos"], b["kind"], b["text"], b["sep"], b["context"]):
+                got: tuple = ([], [], None, 0, "verbatim")
+                if kind == "prose":
+                    got = _choose(chunk, context, styler, scorer, n, guard)
+                out.append((d, p, kind, context, chunk, *got, chunk if got[2] is None else _edged(chunk, got[0][got[2]]), sep))
+            # object columns: a missing choice or score is null, not NaN
+            yield pd.DataFrame(out, columns=["doc_id", "pos", "kind", "context", "input", "candidates", "scores", "chosen", "refused", "decision", "text", "sep"], dtype=object)
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return ch.mapInPandas(run, f"doc_id {kind}, pos int, kind string, context string, input string, candidates array<string>, scores array<double>, chosen int, refused int, decision string, text string, sep string")
 
 
-def rewrite(docs: DataFrame, styler: Styler, scorer: Callable[[str], float], n: int = 4, guard: bool = True, max_chars: int = 1500) -> DataFrame:
-    """(doc_id, text, n_chunks, n_kept_input, n_anchor_rejected, decisions): prose chunks restyled, the rest verbatim.
+def rewrite(docs: DataFrame, styler: Styler, scorer: Scorer | None, n: int = 4, guard: bool = True, max_chars: int = 1500) -> DataFrame:
+    """(doc_id, text, n_chunks, n_candidates, n_kept_input, n_anchor_rejected, decisions): prose chunks restyled, the rest verbatim.
 
-    Each chunk keeps the candidate with the lowest score, and the input unless
-    one is strictly better; with ``guard`` candidates that lose a link or a
-    citation are refused. Styler and scorer are injected; texts that are null or
-    empty stay as they are.
+    Frontmatter, headings and fences never reach the styler; it gets a prose
+    chunk under its heading, and the heading is taken off its answers again.
+    With ``guard`` candidates that lose a link or a citation are refused before
+    any is scored. Of the others the one with the lowest score is taken, if it
+    is strictly below the input's; without a scorer the first. Blank answers
+    are none, and without a usable one the input stays. Chunk counts are of
+    prose. Styler and scorer are injected; null and empty texts give ''.
     """
-    ch = docs.select("doc_id", F.posexplode(body_chunks_udf(F.coalesce("text", F.lit("")))).alias("pos", "c")).select("doc_id", "pos", "c.*")
+    c = _decided(docs, styler, scorer, n, guard, max_chars)
+    prose = F.col("kind") == "prose"
+    # a document's chunks are of one document: the group is as long as its text
+    parts = F.array_sort(F.collect_list(F.struct("pos", F.concat("text", "sep").alias("t"), F.when(prose, F.col("decision")).alias("d"))))
+    g = c.groupBy("doc_id").agg(parts.alias("p"), F.count_if(prose).cast("int").alias("n_chunks"), F.sum(F.size("candidates")).cast("int").alias("n_candidates"), F.count_if(prose & F.col("chosen").isNull()).cast("int").alias("n_kept_input"), F.sum("refused").cast("int").alias("n_anchor_rejected"))
+    said = F.filter(F.transform("p", lambda x: x["d"]), lambda d: d.isNotNull())
+    return g.select("doc_id", F.array_join(F.transform("p", lambda x: x["t"]), "").alias("text"), "n_chunks", "n_candidates", "n_kept_input", "n_anchor_rejected", F.transform(said, lambda d, i: F.concat(F.lit("chunk "), (i + 1).cast("string"), F.lit(": "), d)).alias("decisions"))
 
-    def propose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for d, p, k, t, s in zip(b["doc_id"], b["pos"], b["kind"], b["text"], b["sep"]):
-                out.append((d, p, k, t, s, -1, t, float(scorer(t)) if k == "prose" else 0.0))
-                if k == "prose":
-                    out += [(d, p, k, t, s, i, x, float(scorer(x))) for i, x in enumerate(styler(t, n))]
-            yield pd.DataFrame(out, columns=["doc_id", "pos", "kind", "input", "sep", "idx", "text", "score"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    c = ch.mapInPandas(propose, f"doc_id {kind}, pos int, kind string, input string, sep string, idx int, text string, score double")
-    lost = (F.col("idx") >= 0) & (F.size(text.missing_anchors(F.col("input"), F.col("text"))) > 0)
-    c = c.withColumn("lost", lost if guard else F.lit(False))
-    best = c.groupBy("doc_id", "pos", "kind", "sep").agg(F.min_by(F.struct("idx", "text"), F.when(~F.col("lost"), F.struct("score", "idx"))).alias("b"), F.count_if("lost").alias("lost"))
-    decision = F.when(F.col("kind") != "prose", F.lit("verbatim")).when(F.col("b.idx") < 0, F.lit("kept input")).otherwise(F.concat(F.lit("took "), F.col("b.idx").cast("string")))
-    # a document's chunks are of one document: the group is as long as its text
-    parts = F.array_sort(F.collect_list(F.struct("pos", F.concat(F.col("b.text"), F.col("sep")).alias("t"), decision.alias("d"))))
-    return best.groupBy("doc_id").agg(parts.alias("p"), F.count(F.lit(1)).cast("int").alias("n_chunks"), F.count_if((F.col("kind") == "prose") & (F.col("b.idx") < 0)).cast("int").alias("n_kept_input"), F.sum("lost").cast("int").alias("n_anchor_rejected")).select(
-        "doc_id", F.array_join(F.transform("p", lambda x: x["t"]), "").alias("text"), "n_chunks", "n_kept_input", "n_anchor_rejected", F.transform("p", lambda x: x["d"]).alias("decisions")
-    )
+def rewrite_decisions(docs: DataFrame, styler: Styler, scorer: Scorer | None, n: int = 4, guard: bool = True, max_chars: int = 1500) -> DataFrame:
+    """The preference log, a row a prose chunk: (doc_id, pos, context, input, candidates, scores, chosen, kept_input, decision).
+
+    Refused candidates are in the list with a null score; ``chosen`` counts from 0 and is null where the input was kept.
+    """
+    c = _decided(docs, styler, scorer, n, guard, max_chars).filter("kind = 'prose'")
+    return c.select("doc_id", "pos", "context", "input", "candidates", "scores", "chosen", F.col("chosen").isNull().alias("kept_input"), "decision")
+
+
+def rewrite_pending(pairs: DataFrame, done: DataFrame, styler: Styler, scorer: Scorer | None = None, n: int = 1, selector: Column | None = None, limit: int | None = None) -> DataFrame:
+    """The pairs (id, messages, ...) not done yet, each id once, with ``output``: the styler's rewrite of the user's content as stored.
+
+    No do-no-harm and no guard: of several candidates that are not blank the
+    one with the lowest score, without a scorer the first; records without any
+    are left out. ``limit`` takes the first by id among the selected.
+    """
+    fresh = pairs if selector is None else pairs.filter(F.coalesce(selector, F.lit(False)))
+    fresh = fresh.join(done.select("id").distinct(), "id", "left_anti").dropDuplicates(["id"])
+    if limit is not None:
+        fresh = first_n(fresh, limit, [F.col("id")])
+
+    def best(texts: pd.Series) -> pd.Series:
+        def one(t: str | None) -> str | None:
+            kept = [c for c in styler(t or "", n) if c and c.strip()]
+            return None if not kept else kept[0] if len(kept) == 1 or scorer is None else min(kept, key=scorer)
 
+        return texts.map(one)
 
-def rewrite_pending(pairs: DataFrame, done: DataFrame, styler: Styler, scorer: Callable[[str], float], n: int = 4, guard: bool = False) -> DataFrame:
-    """Rewrites of the pair texts (id, text) not done yet; no anchor guard unless asked for."""
-    fresh = pairs.join(done.select("id").distinct(), "id", "left_anti").dropDuplicates(["id"])
-    return rewrite(fresh.select(F.col("id").alias("doc_id"), "text"), styler, scorer, n, guard).withColumnRenamed("doc_id", "id")
+    return fresh.withColumn("output", F.pandas_udf(best, "string")(content(F.col("messages"), 1))).filter("output is not null")
 
 
 def session_plan(items: DataFrame, budget: int, turns: int, order: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from draftloom.functions import text
-from draftloom.functions.blocks import changed_chunks_udf
+from draftloom.functions.blocks import changes_udf
 
 
 def content(messages: Column, k: int) -> Column:
@@ -18,8 +18,8 @@ def extract(messages: Column, context: Column, field: str) -> Column:
     return text.pair_body(content(messages, {"slop": 1, "target": 2}[field]), context)
 
 
-#: Named extractors, as the scoring commands take them.
-FIELDS = {f: (lambda m, c, f=f: extract(m, c, f)) for f in ("slop", "target")}
+#: Named extractors, as the scoring commands take them; 'output' is the styler's rewrite, a column of its own.
+FIELDS = {f: (lambda m, c, f=f: extract(m, c, f)) for f in ("slop", "target")} | {"output": lambda m, c: text.pair_body(F.col("output"), c)}
 
 
 def problems(pairs: DataFrame, system: str, required: list[str]) -> Column:
@@ -108,20 +108,19 @@ def diff_captures(before_after: DataFrame, min_chars: int = 0) -> DataFrame:
     """(source, chunk_index, chunk_total, context, before, after) of the paragraphs changed between two versions.
 
     Input: source, before, after (whole texts). ``context`` is the nearest
-    heading above the change in the old version. Equal texts give nothing.
+    heading above the change in the new version. Equal texts give nothing.
     """
     a, b = text.paragraphs(F.col("before")), text.paragraphs(F.col("after"))
-    d = before_after.select("source", a.alias("a"), b.alias("b")).withColumn("cs", F.filter(changed_chunks_udf("a", "b"), lambda c: F.length(c["after"]) >= min_chars))
-    e = d.select("source", "a", F.size("cs").alias("chunk_total"), F.posexplode("cs").alias("chunk_index", "c"))
-    head = nearest_heading(F.col("a"), F.split("c.before", "\n\n")[0])
-    return e.select("source", "chunk_index", "chunk_total", head.alias("context"), F.col("c.before").alias("before"), F.col("c.after").alias("after"))
+    d = before_after.select("source", a.alias("a"), b.alias("b")).withColumn("cs", F.filter(changes_udf("a", "b"), lambda c: F.length(c["after"]) >= min_chars))
+    e = d.select("source", headings_above(F.col("b")).alias("h"), F.size("cs").alias("chunk_total"), F.posexplode("cs").alias("chunk_index", "c"))
+    return e.select("source", "chunk_index", "chunk_total", F.get("h", F.col("c.at")).alias("context"), F.col("c.before").alias("before"), F.col("c.after").alias("after"))
 
 
-def nearest_heading(paragraphs: Column, paragraph: Column) -> Column:
-    """The last heading paragraph before a paragraph; '' if there is none."""
-    at = F.array_position(paragraphs, paragraph).cast("int")
-    heads = F.filter(F.slice(paragraphs, F.lit(1), F.greatest(at - 1, F.lit(0))), lambda p: F.regexp_like(p, F.lit(r"^\s{0,3}#{1,6}\s[^\n]*$")))
-    return F.coalesce(F.get(heads, F.size(heads) - 1), F.lit(""))
+def headings_above(paragraphs: Column) -> Column:
+    """For each paragraph the last one before it whose first line is a heading; '' if there is none."""
+    is_head = lambda p: F.regexp_like(F.substring_index(p, "\n", 1), F.lit(r"^\s{0,3}#{1,6}\s"))
+    zero = F.struct(F.lit("").alias("now"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(paragraphs, zero, lambda s, p: F.struct(F.when(is_head(p), text.strip(p)).otherwise(s["now"]).alias("now"), F.concat(s["out"], F.array(s["now"])).alias("out")), lambda s: s["out"])
 
 
 def union_corpora(*parts: DataFrame) -> DataFrame:

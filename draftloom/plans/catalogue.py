@@ -154,15 +154,12 @@ def section_split(spark: SparkSession, d: str) -> DataFrame:
 @query(
     f"""WITH p AS (SELECT DISTINCT target_id, {_paragraphs('text')} AS ps FROM targets WHERE text IS NOT NULL),
     u AS (SELECT target_id, generate_subscripts(ps, 1) - 1 AS pos, unnest(ps) AS p FROM p)
-    SELECT target_id, pos, coalesce(last_value(CASE WHEN regexp_matches(p, '^\\s{{0,3}}#{{1,6}}\\s[^\\n]*$') THEN p END IGNORE NULLS) OVER (PARTITION BY target_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS heading FROM u"""
+    SELECT target_id, pos, coalesce(last_value(CASE WHEN regexp_matches(string_split(p, chr(10))[1], '^\\s{{0,3}}#{{1,6}}\\s') THEN {_strip('p')} END IGNORE NULLS) OVER (PARTITION BY target_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS heading FROM u"""
 )
 def nearest_heading(spark: SparkSession, d: str) -> DataFrame:
     """Heading above each paragraph, carried forward inside the row."""
-    t = table(spark, d, "targets").filter("text is not null").select("target_id", "text").distinct().select("target_id", text.paragraphs(F.col("text")).alias("ps"))
-    is_head = lambda p: F.regexp_like(p, F.lit(r"^\s{0,3}#{1,6}\s[^\n]*$"))
-    zero = F.struct(F.lit("").alias("now"), F.array().cast("array<string>").alias("out"))
-    carried = F.aggregate("ps", zero, lambda s, p: F.struct(F.when(is_head(p), p).otherwise(s["now"]).alias("now"), F.concat(s["out"], F.array(s["now"])).alias("out")), lambda s: s["out"])
-    return t.select("target_id", F.posexplode(carried).alias("pos", "heading")).withColumn("pos", F.col("pos").cast("bigint"))
+    t = table(spark, d, "targets").filter("text is not null").select("target_id", "text").distinct()
+    return t.select("target_id", F.posexplode(P.headings_above(text.paragraphs(F.col("text")))).alias("pos", "heading")).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 @query(
