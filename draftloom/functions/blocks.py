@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 import json
 import re
+from bisect import bisect_left
 from collections import Counter
 from itertools import accumulate
 
@@ -89,10 +90,63 @@ def split_frontmatter(raw: str) -> tuple[str, str]:
     return json.dumps({str(k): v for k, v in meta.items()}, default=str, ensure_ascii=False), raw[m.end() :]
 
 
+#: Lengths of the runs looked for, longest first: a longest match is found among the few long runs two texts share.
+_GRAMS = (16, 6, 3, 1)
+
+
+def _longest(x: str, y_at: dict[str, list[int]], k: int, a: int, b: int, c: int, d: int) -> tuple[int, int, int]:
+    """(size, start in x, start in y) of the longest match of at least k characters in x[a:b] and y[c:d], the earliest in x, then in y."""
+    best, at, to = 0, a, c
+    runs: dict[int, int] = {}
+    for i in range(a, b - k + 1):
+        places = y_at.get(x[i : i + k])
+        if places is None:
+            runs = {}
+            continue
+        now: dict[int, int] = {}
+        for p in range(bisect_left(places, c) if places[0] < c else 0, len(places)):
+            j = places[p]
+            if j > d - k:
+                break
+            n = now[j] = runs.get(j - 1, 0) + 1
+            if n > best:
+                best, at, to = n, i - n + 1, j - n + 1
+        runs = now
+    return (best + k - 1 if best else 0), at, to
+
+
+def matched(x: str, y: str) -> int:
+    """Characters in the matching blocks of two texts: the longest block, then those before and after it, and so on.
+
+    The blocks are those of ``difflib.SequenceMatcher`` without its heuristic
+    of popular elements. A match of k characters or more is a row of common
+    k-grams, so it is found among these, from long to short.
+    """
+    index: dict[int, dict[str, list[int]]] = {}
+    total, todo = 0, [(0, len(x), 0, len(y), 0)]
+    while todo:
+        a, b, c, d, level = todo.pop()
+        size = 0
+        while not size and level < len(_GRAMS):
+            k = _GRAMS[level]
+            if b - a >= k and d - c >= k:
+                if k not in index:
+                    index[k] = {}
+                    for j in range(len(y) - k + 1):
+                        index[k].setdefault(y[j : j + k], []).append(j)
+                size, i, j = _longest(x, index[k], k, a, b, c, d)
+            if not size:
+                level += 1
+        if size:
+            total += size
+            todo += [(a, i, c, j, level), (i + size, b, j + size, d, level)]
+    return total
+
+
 def similarity(a: str, b: str) -> float:
     """difflib's ratio of the texts with white space normalised, to 3 places; 1.0 for two empty ones."""
     x, y = " ".join(a.split()), " ".join(b.split())
-    return round(difflib.SequenceMatcher(None, x, y, autojunk=False).ratio(), 3) if x or y else 1.0
+    return 1.0 if x == y else round(2.0 * matched(x, y) / (len(x) + len(y)), 3)
 
 
 _FENCED = r"(?P<mark>`{3,}|~{3,})[^\n]*(?:\n(?![^\S\n]*(?P=mark))[^\n]*)*(?:\n[^\S\n]*(?P=mark)[^\n]*)?"
@@ -241,7 +295,8 @@ def frontmatter_udf(c):
 
 def similarity_udf(a, b):
     def over(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([None if p is None or q is None else similarity(p, q) for p, q in zip(x, y)], dtype="float64")
+        once = {k: similarity(*k) for k in set(zip(x, y)) if k[0] is not None and k[1] is not None}  # a pair that repeats in the batch is compared once
+        return pd.Series([once.get(k) for k in zip(x, y)], dtype="float64")
 
     return F.pandas_udf(over, "double")(a, b)
 

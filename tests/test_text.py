@@ -1,3 +1,4 @@
+import difflib
 import re
 
 from hypothesis import HealthCheck, given, settings
@@ -131,6 +132,13 @@ def test_similarity_and_diff():
     assert blocks.changed_chunks(["a"], ["a"]) == []
 
 
+@settings(max_examples=400, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.sampled_from(["ab", "a", "b", "abc abc", " ", "the quick brown fox jumps", "x" * 20, "é"]), max_size=10), st.lists(st.sampled_from(["ab", "b", "abc abc", " ", "the quick brown cat jumps", "x" * 17, "é"]), max_size=10))
+def test_matched_equals_difflib(a, b):
+    x, y = "".join(a), "".join(b)
+    assert blocks.matched(x, y) == sum(m.size for m in difflib.SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks())
+
+
 def test_judge_reply():
     assert blocks.judge_reply('x {"score": 9, "rationale": "r"}') == (5, "r")
     assert blocks.judge_reply("a 2 b")[0] == 2
