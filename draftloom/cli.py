@@ -51,7 +51,7 @@ def cmd_synth(spark: SparkSession, a: argparse.Namespace) -> None:
     n = len(set(a.model)) * len(set(a.strategy)) * len(set(a.effort))
     cells = splits.assign_arms(t, arms, n, a.seed, a.per_generator)
     c = F.col
-    cells = cells.withColumn("synth_key", keys.synth_key(c("model"), c("strategy"), c("effort"), F.lit(""), splits.effective_context(c("context"), c("text"), a.dropout), c("text")))
+    cells = cells.withColumn("synth_key", keys.synth_key(splits.arm_name(c("model"), a.kind), c("strategy"), c("effort"), F.lit(""), splits.effective_context(c("context"), c("text"), a.dropout), c("text")))
     todo = P.resume(cells, flat_pairs(spark, a.pairs).select("synth_key"), "synth_key", [c("source"), c("chunk_index")])
     if a.dry_run:
         todo.groupBy("model").count().orderBy("model").show(1000, False)
@@ -107,7 +107,7 @@ def cmd_train(spark: SparkSession, a: argparse.Namespace) -> None:
     p = flat_pairs(spark, a.pairs)
     role = splits.with_role(p, jsonl.read_json(spark, a.splits, splits.VERSION)) if a.splits else p.withColumn("role", F.lit("styler"))
     posts = role.filter("role = 'styler'").select(F.col("source").alias("post"))
-    val = spark.createDataFrame([(x,) for x in splits.shuffled_posts(posts, a.val_frac, a.seed)], "post string")
+    val = splits.held_out(posts, a.val_frac, a.seed)
     c, accounts = corpus.training_corpus(role, P.problems(role, a.system, ["source", "captured_at", "capture_id", "chunk_index", "chunk_total"]), val, F.col("role"), "styler", cap=a.cap)
     accounts.show()
     sha = jsonl.file_hash(spark, a.pairs).agg(F.substring(F.sha2(F.array_join(F.array_sort(F.collect_list("sha")), ""), 256), 1, 16)).first()[0]
@@ -164,7 +164,7 @@ def parser() -> argparse.ArgumentParser:
     yes = dict(action="store_true")
     num = lambda t, d: dict(type=t, default=d)
     add("targets", cmd_targets, ("--root", need), ("--out", need), ("--human-only", yes), ("--field", dict(default="automation")), ("--max-level", num(int, 0)), ("--min-chars", num(int, 80)), ("--max-chars", num(int, 8000)), ("--merge", yes), ("--context", yes), ("--stop-at", dict(nargs="*", default=[])), ("--sample", num(float, None)), ("--sort", dict(default="none")), ("--report", {}))
-    add("synth", cmd_synth, ("--targets", need), ("--pairs", need), ("--out", need), ("--model", many), ("--strategy", many), ("--effort", many), ("--seed", num(int, 0)), ("--dropout", num(float, 0.0)), ("--per-generator", yes), ("--dry-run", yes))
+    add("synth", cmd_synth, ("--targets", need), ("--pairs", need), ("--out", need), ("--model", many), ("--strategy", many), ("--effort", many), ("--kind", dict(default="gpt", choices=list(splits.ARM_NAMES))), ("--seed", num(int, 0)), ("--dropout", num(float, 0.0)), ("--per-generator", yes), ("--dry-run", yes))
     add("eval", cmd_eval, ("--pairs", need), ("--scores", need), ("--hook", need), ("--score-field", dict(default="slop", choices=list(P.FIELDS))))
     add("export-table", cmd_export, ("--scores", need), ("--out", need))
     add("make-splits", cmd_splits, ("--pairs", need), ("--out", need), ("--eval-frac", num(float, 0.1)), ("--detector-frac", num(float, 0.4)), ("--seed", num(int, 0)), ("--force", yes))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from draftloom.functions import text
 from draftloom.operators.pairs import extract, near_identity
+from draftloom.operators.splits import balanced_folds
 
 GRID = [0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0]
 
@@ -88,12 +89,23 @@ def class_weights(rows: DataFrame, label: str = "label") -> DataFrame:
     return rows.join(F.broadcast(n.crossJoin(total).withColumn("weight", F.col("_t") / (2.0 * F.col("_n")))), F.col(label) == F.col("_l")).drop("_l", "_n", "_t")
 
 
+def weighted(rows: DataFrame, vector: str = "vector", label: str = "label") -> DataFrame:
+    """What a fit takes: features, label and weight of each row."""
+    return class_weights(rows, label).select(array_to_vector(F.col(vector).cast("array<double>")).alias("_x"), F.col(label).cast("double").alias("_y"), "weight")
+
+
 def fit(rows: DataFrame, c: float = 1.0, vector: str = "vector", label: str = "label"):
     """Balanced L2 logistic regression with inverse strength C (regParam 1 / (C n), no standardisation)."""
+    w = weighted(rows, vector, label).persist()
+    try:
+        return _fit(w, c, w.count())
+    finally:
+        w.unpersist()
+
+
+def _fit(w: DataFrame, c: float, n: int):
     from pyspark.ml.classification import LogisticRegression
 
-    w = class_weights(rows, label).withColumn("_x", array_to_vector(F.col(vector).cast("array<double>"))).withColumn("_y", F.col(label).cast("double")).select("_x", "_y", "weight")
-    n = w.count()
     return LogisticRegression(featuresCol="_x", labelCol="_y", weightCol="weight", regParam=1.0 / (c * max(n, 1)), elasticNetParam=0.0, standardization=False, maxIter=60, tol=1e-6).fit(w)
 
 
@@ -108,25 +120,33 @@ def predict(rows: DataFrame, head: dict, vector: str = "vector") -> DataFrame:
     return rows.withColumn("score", linear_score(F.col(vector), head["coef"], head["intercept"]))
 
 
+def sized_posts(rows: DataFrame) -> DataFrame:
+    """(post, n): the rows of each post."""
+    return rows.groupBy("post").agg(F.count(F.lit(1)).alias("n"))
+
+
 def choose_c(rows: DataFrame, folds: DataFrame, grid: list[float] = GRID) -> float:
     """The C with the best mean pairwise accuracy over folds of posts (post, fold); ties go to the smallest; 1.0 below 4 posts."""
-    if folds.count() < 4:
+    if len(folds.limit(4).collect()) < 4:
         return 1.0
-    r = rows.join(F.broadcast(folds), "post").select("post", "fold", "pair_row", "label", "vector").persist()
-    best, chosen = -1.0, grid[0]
-    for c in sorted(grid):
-        got = []
-        for k in [x[0] for x in folds.select("fold").distinct().orderBy("fold").collect()]:
-            train, test = r.filter(F.col("fold") != k), r.filter(F.col("fold") == k)
-            if train.select("label").distinct().count() < 2:
-                continue
-            a = pairwise_accuracy(predict(test, head_of(fit(train, c)))).first()[0]
-            if a is not None:
-                got.append(a)
-        if got and float(np.mean(got)) > best:
-            best, chosen = float(np.mean(got)), c
+    from draftloom.operators.scores import linear_score
+
+    r = rows.join(folds, "post").select("post", "fold", "pair_row", "label", "vector").persist()
+    got: dict[float, list[float]] = {c: [] for c in sorted(grid)}
+    for k in [x[0] for x in folds.select("fold").distinct().orderBy("fold").collect()]:
+        train, test = r.filter(F.col("fold") != k), r.filter(F.col("fold") == k)
+        w = weighted(train).persist()
+        n = {x["_y"]: x["count"] for x in w.groupBy("_y").count().collect()}
+        if len(n) == 2:
+            heads = {c: head_of(_fit(w, c, sum(n.values()))) for c in got}
+            # all heads score the test posts in one pass
+            each = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), linear_score(F.col("vector"), h["coef"], h["intercept"]).alias("score")) for c, h in heads.items()])).alias("x")
+            for x in pairwise_accuracy(test.select("pair_row", "label", each).select("pair_row", "label", "x.*"), ["c"]).collect():
+                got[x["c"]].append(x["pairwise_accuracy"])
+        w.unpersist()
     r.unpersist()
-    return chosen
+    means = {c: float(np.mean(v)) for c, v in got.items() if v}
+    return max(sorted(means), key=lambda c: (means[c], -c)) if means else min(grid)
 
 
 def provenance(scored: DataFrame) -> DataFrame:
@@ -157,3 +177,61 @@ def evaluate(rows: DataFrame, folds: DataFrame, c: float = 1.0) -> tuple[DataFra
     per = spark.createDataFrame(got, "fold int, pairwise_accuracy double, auc double")
     stats = [fold_stats(per, m).withColumn("metric", F.lit(m)) for m in ("pairwise_accuracy", "auc")]
     return per, stats[0].unionByName(stats[1])
+
+
+#: The strata that metrics are faceted by: real edits, and pairs made by a machine.
+STRATA = {"all": None, "real": False, "synthetic": True}
+
+
+def evaluate_holdout(rows: DataFrame, held: DataFrame, c: float | None = None) -> DataFrame:
+    """(stratum, pairwise_accuracy, pairs, auc, positives, negatives, c) over the held-out posts (post), fitted on all others.
+
+    Without ``c`` it is chosen by folds of the training posts alone. Free
+    author texts train and are not scored. The strata real and synthetic are
+    there only if the scored pairs are of both kinds; metrics have 4 places.
+    """
+    train = rows.join(held.select("post"), "post", "left_anti")
+    test = rows.filter(~F.col("is_free")).join(held.select("post"), "post", "left_semi")
+    chosen = c if c is not None else choose_c(train, balanced_folds(sized_posts(train)))
+    scored = predict(test, head_of(fit(train, chosen))).select("pair_row", "label", "score", "synthetic")
+    every = scored.select("pair_row", "label", "score", F.explode(F.array(F.lit("all"), F.when(F.col("synthetic"), "synthetic").otherwise("real"))).alias("stratum"))
+    kinds = scored.agg(F.count_distinct("synthetic")).first()[0]
+    names = list(STRATA) if kinds > 1 else ["all"]
+    parts = []
+    for name in names:
+        mine = every.filter(F.col("stratum") == name)
+        parts.append(pairwise_accuracy(mine).crossJoin(auc(mine)).select(F.lit(name).alias("stratum"), F.round("pairwise_accuracy", 4).alias("pairwise_accuracy"), "pairs", F.round("auc", 4).alias("auc"), "positives", "negatives", F.lit(float(chosen)).alias("c")))  # one row each
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def write_artifact(spark, path: str, head: dict, rows: DataFrame, metrics: list[dict], split: dict | None = None, chosen: dict | None = None, embed_model: str = "", threshold: float = 0.5) -> dict:
+    """head.json (coefficients, intercept) and meta.json (provenance, counts, metrics) under a folder; returns the meta."""
+    import datetime as dt
+
+    from draftloom.sources.jsonl import write_json
+
+    one = F.col("label") == 1
+    n = rows.agg(F.count_if(one).alias("n_pairs"), F.count_if(one & ~F.col("synthetic")).alias("n_pairs_real"), F.count_if(one & F.col("synthetic")).alias("n_pairs_synthetic"), F.count_distinct("post").alias("n_posts"), F.count_if("is_free").alias("n_free_positives")).first().asDict()
+    meta = {"schema_version": head["schema_version"], "embed_model": embed_model, "embed_dim": len(head["coef"]), "normalize": True, "label_polarity": "p_slop", "threshold": threshold, "trained_at": dt.datetime.now(dt.timezone.utc).isoformat(), **n, "head_C": chosen, "split": split or {"mode": "fit_all"}, "metrics": metrics}
+    write_json(spark, f"{path}/head.json", {"coef": head["coef"], "intercept": head["intercept"], "calibration": None})
+    write_json(spark, f"{path}/meta.json", meta)
+    return meta
+
+
+def load_artifact(spark, path: str) -> tuple[dict, dict]:
+    """(head, meta) of a folder; an error names what is wrong with a broken one."""
+    from draftloom.sources.jsonl import read_json
+
+    head, meta = read_json(spark, f"{path}/head.json"), read_json(spark, f"{path}/meta.json", 1)
+    number = lambda x: isinstance(x, (int, float)) and not isinstance(x, bool)
+    coef = head.get("coef") if isinstance(head, dict) else None
+    if not isinstance(coef, list) or not coef or not all(map(number, coef)):
+        raise ValueError(f"{path}: 'coef' must be a non-empty list of numbers")
+    if not number(head.get("intercept")):
+        raise ValueError(f"{path}: 'intercept' must be a number")
+    if meta.get("embed_dim") not in (None, len(coef)):
+        raise ValueError(f"{path}: {len(coef)} coefficients for embeddings of {meta['embed_dim']}")
+    return head, meta

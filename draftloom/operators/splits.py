@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from draftloom.functions import keys
+from draftloom.operators import ranks
+from draftloom.operators.joins import lookup
 
 ROLES = ["eval", "styler", "detector"]
 VERSION = 1
@@ -70,33 +72,70 @@ def danger_report(summary: DataFrame, stale: DataFrame, min_posts: int = 10, min
     return a.unionByName(b)
 
 
-def shuffled_posts(posts: DataFrame, frac: float, seed: int) -> list[str]:
-    """The held-out posts of a by-post split: the driver's seeded shuffle of the sorted dimension."""
-    pool = sorted(r[0] for r in posts.select("post").filter("post is not null").distinct().toLocalIterator())
-    random.Random(seed).shuffle(pool)
-    return sorted(pool[: max(1, round(len(pool) * frac))]) if pool and frac > 0 else []
+def held_out(posts: DataFrame, frac: float, seed: int = 0, pinned: list[str] | DataFrame | None = None) -> DataFrame:
+    """(post) of a by-post hold-out: the pinned posts that exist, else the share with the smallest seeded hash; none for a share of 0.
+
+    Everything else is training data. Null posts are never held out.
+    """
+    every = posts.select("post").filter("post is not null").distinct()
+    if pinned is not None:
+        names = pinned if isinstance(pinned, DataFrame) else posts.sparkSession.createDataFrame([(p,) for p in pinned], "post string")
+        return every.join(names.select("post").distinct(), "post", "left_semi")
+    if not frac or frac <= 0:
+        return every.filter("false")
+    rows = every.select("post", F.lit(0).alias("_s"), ranks.hash60(F.lit(str(seed)), F.col("post")).alias("_u"))
+    return ranks.smallest_share(rows.withColumnRenamed("_s", "sample"), "sample", "_u", "post", frac).select("post")
 
 
 def shuffle_folds(posts: DataFrame, folds: int = 8, test_frac: float = 0.25, seed: int = 0) -> DataFrame:
-    """(fold, post): the test posts of each shuffled fold."""
-    pool = sorted(r[0] for r in posts.select("post").filter("post is not null").distinct().toLocalIterator())
-    rows = []
-    for k in range(folds):
-        p = list(pool)
-        random.Random(f"{seed}:{k}").shuffle(p)
-        rows += [(k, x) for x in p[: max(1, round(len(p) * test_frac))]] if p else []
-    return posts.sparkSession.createDataFrame(rows, "fold int, post string")
+    """(fold, post): the test posts of each shuffled fold, the share with the smallest hash of seed, fold and post."""
+    every = posts.select("post").filter("post is not null").distinct().withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
+    rows = every.withColumn("_u", ranks.hash60(F.concat(F.lit(f"{seed}:"), F.col("fold").cast("string")), F.col("post")))
+    return ranks.smallest_share(rows, "fold", "_u", "post", test_frac).select("fold", "post")
+
+
+def _deal(sizes: dict[int, int], folds: int) -> list[tuple[int, list[int], list[int]]]:
+    """(size, folds of its first posts, folds of the others in turn): each post, by falling size, to the lightest fold.
+
+    Once the loads differ by less than the size, posts of that size go round.
+    """
+    load, out = [0] * folds, []
+    for n in sorted(sizes, reverse=True):
+        left, first = sizes[n], []
+        while left and (max(load) - min(load) >= n > 0):
+            k = min(range(folds), key=lambda i: (load[i], i))
+            load[k] += n
+            first.append(k)
+            left -= 1
+        turn = sorted(range(folds), key=lambda i: (load[i], i))
+        for place, k in enumerate(turn):
+            load[k] += n * (left // folds + (place < left % folds))
+        out.append((n, first, turn))
+    return out
 
 
 def balanced_folds(sizes: DataFrame, folds: int = 4) -> DataFrame:
-    """(post, fold): posts by falling size, each to the lightest fold so far. Input (post, n): one row a post."""
-    load = [0] * folds
-    rows = []
-    for r in sizes.orderBy(F.desc("n"), "post").toLocalIterator():
-        k = min(range(folds), key=lambda i: (load[i], i))
-        load[k] += r["n"]
-        rows.append((r["post"], k))
-    return sizes.sparkSession.createDataFrame(rows, "post string, fold int")
+    """(post, fold): posts by falling size, each to the lightest fold so far. Input (post, n): one row a post.
+
+    Only the number of posts of each size comes to the driver; posts find
+    their fold by their rank in their size.
+    """
+    counts = {r["n"]: r["c"] for r in sizes.groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()}
+    deal = sizes.sparkSession.createDataFrame([(n, a, b) for n, a, b in _deal(counts, folds)], "_size bigint, _first array<int>, _turn array<int>")
+    r = ranks.ranked(sizes.select("post", F.col("n").cast("bigint").alias("n")), "n", ["post"], "_k")
+    j = lookup(r, deal, F.col("n"), "_size", "inner")
+    later = F.get("_turn", F.pmod(F.col("_k") - F.size("_first"), F.lit(folds)).cast("int"))
+    return j.select("post", F.when(F.col("_k") < F.size("_first"), F.get("_first", F.col("_k").cast("int"))).otherwise(later).alias("fold"))
+
+
+#: How a generator of each kind is named, as its keys have it.
+ARM_NAMES = {"gpt": "{}", "local": "local-{}", "openrouter": "openrouter/{}"}
+
+
+def arm_name(model: Column, kind: str = "gpt") -> Column:
+    """The generator's name of an arm, which its keys are made of."""
+    before, after = ARM_NAMES[kind].split("{}")
+    return F.concat(F.lit(before), model, F.lit(after))
 
 
 def arms(spark: SparkSession, models: list[str], strategies: list[str], efforts: list[str]) -> DataFrame:

@@ -319,6 +319,15 @@ def posts_left(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "posts").select(F.col("source").alias("post")).subtract(table(spark, d, "train_corpus").select(F.explode("val_posts").alias("post")))
 
 
+@query(
+    """WITH n AS (SELECT source AS post, count(*) AS n FROM pairs WHERE source IS NOT NULL GROUP BY 1), f AS (SELECT post, fold, ('0x' || substr(sha256('0:' || fold || ':' || post), 1, 15))::BIGINT AS u FROM n, (SELECT unnest(range(8))::INT AS fold))
+    SELECT fold, post FROM (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY u, post) AS k, count(*) OVER (PARTITION BY fold) AS c FROM f) WHERE k <= greatest(1, round_even(c * 0.25, 0))"""
+)
+def shuffled_folds(spark: SparkSession, d: str) -> DataFrame:
+    """The test posts of eight shuffled folds."""
+    return splits.shuffle_folds(table(spark, d, "pairs").select(F.col("source").alias("post")))
+
+
 @query()
 def by_post_folds(spark: SparkSession, d: str) -> DataFrame:
     """Shuffled test folds and balanced inner folds of the posts."""
@@ -620,12 +629,8 @@ def hashed_words(texts: list[str], size: int = 64) -> np.ndarray:
 def classifier(spark: SparkSession, d: str) -> DataFrame:
     """Dataset, embedding, nested choice of C, balanced fit, held-out metrics by post."""
     rows = model.embed(model.assemble(_once(spark, d)), hashed_words).persist()
-    sizes = rows.groupBy("post").agg(F.count(F.lit(1)).alias("n"))
-    held = spark.createDataFrame([(p,) for p in splits.shuffled_posts(sizes.select("post"), 0.2, 0)], "post string")
-    train, test = rows.join(F.broadcast(held), "post", "left_anti"), rows.join(F.broadcast(held), "post", "left_semi")
-    c = model.choose_c(train, splits.balanced_folds(train.groupBy("post").agg(F.count(F.lit(1)).alias("n"))))
-    scored = model.predict(test, model.head_of(model.fit(train, c)))
-    return model.pairwise_accuracy(scored).crossJoin(model.auc(scored)).withColumn("c", F.lit(c))
+    held = splits.held_out(rows.select("post"), 0.2)
+    return model.evaluate_holdout(rows, held)
 
 
 @query()

@@ -217,3 +217,46 @@ def test_spread_runs_nothing_and_scratch_is_deleted(spark, tmp_path):
     t.write.parquet(at)
     session.clean()
     assert not os.path.exists(at)
+
+
+def test_holdouts_and_folds_are_exact_shares(spark):
+    posts = spark.createDataFrame([(f"p{i}",) for i in range(101)] + [("p1",), (None,)], "post string")
+    held = {r.post for r in splits.held_out(posts, 0.25, 3).collect()}
+    assert len(held) == 25 and held == {r.post for r in splits.held_out(posts.repartition(5), 0.25, 3).collect()}
+    assert splits.held_out(posts, 0.0).count() == 0 and splits.held_out(posts.filter("false"), 0.5).count() == 0
+    assert {r.post for r in splits.held_out(posts, 0.5, pinned=["p1", "gone"]).collect()} == {"p1"}
+    assert splits.held_out(posts.limit(2), 0.01).count() == 1
+    folds = splits.shuffle_folds(posts, 3, 0.1)
+    assert {r["count"] for r in folds.groupBy("fold").count().collect()} == {10} and folds.distinct().count() == 30
+
+
+@pytest.mark.parametrize("sizes", [[10 - i for i in range(8)], [1] * 37, [50, 1, 1, 1, 7, 7, 7, 7, 7, 2, 2], [5, 5, 5], [3, 3, 0, 0, 0], [9] + [2] * 40])
+def test_balanced_folds_equal_the_greedy_deal(spark, sizes):
+    rows = [(f"p{i:03d}", n) for i, n in enumerate(sizes)]
+    load, want = [0] * 4, {}
+    for post, n in sorted(rows, key=lambda r: (-r[1], r[0])):
+        k = min(range(4), key=lambda i: (load[i], i))
+        load[k] += n
+        want[post] = k
+    got = {r.post: r.fold for r in splits.balanced_folds(spark.createDataFrame(rows, "post string, n int")).collect()}
+    if 0 in sizes:  # posts of no rows weigh nothing: any fold is as light
+        got, want = ({p: k for p, k in x.items() if dict(rows)[p]} for x in (got, want))
+    assert got == want
+
+
+def test_evaluate_holdout_and_artifact(spark, tmp_path):
+    rows = [(f"{i}:{y}", i, f"p{i % 6}", y, i % 3 == 0, i == 0 and y == 0, [float(y), 0.1 * (i % 4), 1.0]) for i in range(24) for y in (0, 1)]
+    df = spark.createDataFrame(rows, "row_id string, pair_row int, post string, label int, synthetic boolean, is_free boolean, vector array<double>")
+    held = splits.held_out(df.select("post"), 0.0, pinned=["p0", "p1"])
+    got = {r.stratum: r for r in model.evaluate_holdout(df, held, 1.0).collect()}
+    assert set(got) == {"all", "real", "synthetic"} and got["all"].pairwise_accuracy == 1.0 and got["all"].auc == 1.0 and got["all"].pairs == 7
+    assert got["real"].positives == 4 and got["synthetic"].positives == 4
+    head = model.head_of(model.fit(df, 1.0))
+    meta = model.write_artifact(spark, f"{tmp_path}/art", head, df, [])
+    assert meta["n_pairs"] == 24 and meta["n_pairs_synthetic"] == 8 and model.load_artifact(spark, f"{tmp_path}/art")[0]["coef"] == head["coef"]
+    from draftloom.sources.jsonl import write_json
+
+    for bad in ({"coef": [], "intercept": 0.0}, {"coef": ["x"], "intercept": 0.0}, {"coef": [1.0], "intercept": 0.0}, {"coef": head["coef"], "intercept": None}):
+        write_json(spark, f"{tmp_path}/art/head.json", bad)
+        with pytest.raises(ValueError):
+            model.load_artifact(spark, f"{tmp_path}/art")
