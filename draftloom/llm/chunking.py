@@ -12,10 +12,10 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from draftloom.session import scratch
+from draftloom.operators.ranks import ranked
 
 LIMIT, OVERLAP = 8000, 200
 
@@ -113,27 +113,6 @@ def split_oversized(df: DataFrame, id_col: str, text_col: str, limit: int = LIMI
     return big.groupBy(id_col).agg(F.min("_text").alias("_text")).mapInPandas(cut, schema)
 
 
-def _prefix_index(df: DataFrame, group: str, order: list[str], by: str) -> DataFrame:
-    """``by``: the 0-based rank of a row in its group, and ``_total``, however few groups there are.
-
-    Rows are sorted by ranges of (group, order), so a group of any size, or of
-    one order value, lies in several ranges of like size; a row's rank is its
-    place in its range less where the group begins there, plus the group's
-    rows in the ranges before. The sorted rows are written once, since ranges
-    are sampled anew at each run.
-    """
-    keys = [group, *order]
-    at = scratch(df.sparkSession, "ranges")
-    place = F.monotonically_increasing_id()
-    df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", place).write.parquet(at)
-    rows = df.sparkSession.read.parquet(at).withColumn("_range", F.shiftright("_at", 33))
-    part = rows.groupBy(F.col(group).alias("_g"), F.col("_range").alias("_r")).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
-    part = part.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy("_g").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    part = part.withColumn("_total", F.sum("_n").over(Window.partitionBy("_g")).cast("int"))  # one row a range: few
-    out = rows.join(part, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r")))
-    return out.withColumn(by, (F.col("_before") + F.col("_at") - F.col("_first")).cast("int")).drop("_at", "_range", "_g", "_r", "_n", "_first", "_before")
-
-
 def rechunk_targets(targets: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """The whole targets table with oversized texts cut and chunk numbers put right.
 
@@ -151,5 +130,5 @@ def rechunk_targets(targets: DataFrame, limit: int = LIMIT, overlap: int = OVERL
     short = once.filter(F.coalesce(F.col("_n") <= limit, F.lit(True))).select("target_id", "source", "_o", F.lit(0).alias("piece_index"), F.lit(1).alias("piece_total"), F.col("_short").alias("text"))
     long = cut.join(once.select("target_id", "source", "_o"), "target_id").select("target_id", "source", "_o", "piece_index", "piece_total", F.col("piece").alias("text"))
     rows = short.unionByName(long).withColumn("_o", F.coalesce("_o", F.lit(2**31 - 1)))
-    out = _prefix_index(rows, "source", ["_o", "target_id", "piece_index"], "chunk_index")
-    return out.select("target_id", "source", "piece_index", "piece_total", "chunk_index", F.col("_total").alias("chunk_total"), "text")
+    out = ranked(rows, "source", ["_o", "target_id", "piece_index"], "chunk_index")
+    return out.select("target_id", "source", "piece_index", "piece_total", F.col("chunk_index").cast("int").alias("chunk_index"), F.col("_total").cast("int").alias("chunk_total"), "text")
