@@ -120,6 +120,11 @@ def predict(rows: DataFrame, head: dict, vector: str = "vector") -> DataFrame:
     return rows.withColumn("score", linear_score(F.col(vector), head["coef"], head["intercept"]))
 
 
+def subset(rows: DataFrame, keep: DataFrame) -> DataFrame:
+    """The rows of the posts (post) to keep."""
+    return rows.join(keep.select("post").distinct(), "post", "left_semi")
+
+
 def sized_posts(rows: DataFrame) -> DataFrame:
     """(post, n): the rows of each post."""
     return rows.groupBy("post").agg(F.count(F.lit(1)).alias("n"))

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from draftloom.session import checkpoint
+
 #: Severities a prose linter reports.
 SEVERITIES = ["suggestion", "warning", "error"]
 SCORE = "id string, field string, text_chars int, vale struct<available:boolean,alerts:int>, judge struct<score:int,rationale:string>, detector struct<score:double>"
@@ -131,5 +133,6 @@ def score_rows(rows: DataFrame, done: DataFrame, signals: dict[str, Signal], id_
                     out.append((i, False, f"{type(e).__name__}: {e}", len(t or ""), None, None, None))
             yield pd.DataFrame(out, columns=["id", "ok", "error", "text_chars", *names])
 
-    both = fresh.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).mapInPandas(run, schema).persist()
+    both = fresh.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).mapInPandas(run, schema)
+    both = checkpoint(both)  # signals may be paid for: they run once, and a lost executor does not run them again
     return both.filter("ok").drop("ok", "error"), both.filter("not ok").select("id", "error")

@@ -30,18 +30,27 @@ def answers(lines: DataFrame, score: Callable[[Column], Column], meta: dict[str,
     return r.select(value.alias("value"))
 
 
+#: Parts that the keys of an append-once table are spread over.
+PARTS = 256
+
+
 def append_once(stream: DataFrame, path: str, checkpoint: str, key: str) -> StreamingQuery:
-    """Append the rows of a stream whose key is not in the table yet, each key once; a replayed batch adds nothing."""
+    """Append the rows of a stream whose key is not in the table yet, each key once; a replayed batch adds nothing.
+
+    The table is parted by a hash of the key, so that a batch reads the keys of
+    the parts that it touches and no others.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        new = batch.dropDuplicates([key])
+        new = batch.dropDuplicates([key]).withColumn("part", F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int"))
         hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
         if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+            touched = [r[0] for r in new.select("part").distinct().collect()]
             # the batch's own folder is left out: a replay rewrites it
-            old = spark.read.parquet(path).filter(F.col("batch") != number)
-            new = new.join(old.select(key), key, "left_anti")
-        new.write.mode("overwrite").parquet(f"{path}/batch={number}")
+            old = spark.read.parquet(path).filter((F.col("batch") != number) & F.col("part").isin(touched))
+            new = new.join(old.select(key, "part"), [key, "part"], "left_anti").select(*new.columns)
+        new.write.mode("overwrite").partitionBy("part").parquet(f"{path}/batch={number}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
