@@ -69,6 +69,11 @@ def alerts_by_severity(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy("id").agg(*[F.count_if(F.col("severity") == s).alias(s) for s in SEVERITIES])
 
 
+def count_by(rows: DataFrame, key: str, out: str = "rows") -> DataFrame:
+    """How many rows each value of a key has, null too."""
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias(out))
+
+
 def gen_economics(rows: DataFrame) -> DataFrame:
     """Sums and ratios of generation a model; ratios over nothing are null. Columns: model, cost, gen_seconds and four kinds of tokens."""
     sums = rows.groupBy("model").agg(

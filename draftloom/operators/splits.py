@@ -87,6 +87,16 @@ def held_out(posts: DataFrame, frac: float, seed: int = 0, pinned: list[str] | D
     return ranks.smallest_share(rows.withColumnRenamed("_s", "sample"), "sample", "_u", "post", frac).select("post")
 
 
+def present(posts: DataFrame, among: DataFrame) -> DataFrame:
+    """Distinct posts that are in both tables (post)."""
+    return posts.select("post").intersect(among.select("post"))
+
+
+def remaining(posts: DataFrame, without: DataFrame) -> DataFrame:
+    """Distinct posts that are not among the others."""
+    return posts.select("post").subtract(without.select("post"))
+
+
 def shuffle_folds(posts: DataFrame, folds: int = 8, test_frac: float = 0.25, seed: int = 0) -> DataFrame:
     """(fold, post): the test posts of each shuffled fold, the share with the smallest hash of seed, fold and post."""
     every = posts.select("post").filter("post is not null").distinct().withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))

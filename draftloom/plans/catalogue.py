@@ -180,7 +180,11 @@ def chunk_gate(spark: SparkSession, d: str) -> DataFrame:
     return t.select("target_id", text.keep_chunk(c).alias("keep"), text.is_table(c).alias("is_table"), text.is_list(c).alias("is_list"), text.is_link_list(c).alias("is_links"), text.prose_residual(c).cast("bigint").alias("residual")).distinct()
 
 
-@query()
+@query(
+    f"""WITH p AS (SELECT doc_id, ps FROM (SELECT doc_id, {_paragraphs('text')} AS ps FROM documents WHERE text IS NOT NULL) WHERE len(ps) > 0),
+    f AS (SELECT doc_id, string_split(list_reduce(ps, lambda acc, x: CASE WHEN length(string_split(acc, chr(57344))[-1]) + 2 + length(x) <= 1500 THEN acc || chr(10) || chr(10) || x ELSE acc || chr(57344) || x END), chr(57344)) AS parts FROM p)
+    SELECT doc_id, (generate_subscripts(parts, 1) - 1)::INT AS pos, unnest(parts) AS passage FROM f"""
+)
 def pack_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     t = spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.posexplode(text.pack(text.paragraphs(F.col("text")), 1500)).alias("pos", "passage"))
     return t
@@ -302,21 +306,35 @@ def _contract(spark: SparkSession, d: str) -> dict:
     return {"schema_version": 1, "eval_posts": pinned, "rest_rule": {"kind": "hash", "salt": ROLE_SALT, "detector_frac": DETECTOR_FRAC}}
 
 
-@query()
+@query(
+    f"""WITH p AS {_PAIRS}, x AS (SELECT 'all' AS corpus, p.* FROM p UNION ALL SELECT 'synthetic', p.* FROM p WHERE synthetic UNION ALL SELECT 'first', p.* FROM p WHERE source = (SELECT min(source) FROM p)),
+    r AS (SELECT corpus, source, coalesce(synthetic, false) AS synthetic, CASE WHEN source IN (SELECT unnest(val_posts) FROM train_corpus) THEN 'eval' WHEN {_unit("'0:' || coalesce(source, '?')")} < 0.4::DOUBLE THEN 'detector' ELSE 'styler' END AS role FROM x),
+    s AS (SELECT c.corpus, d.role, count(DISTINCT source) AS posts, count(r.role) AS pairs, count(r.role) FILTER (NOT synthetic) AS real FROM (SELECT unnest(['all', 'synthetic', 'first']) AS corpus) c CROSS JOIN (SELECT unnest(['eval', 'styler', 'detector']) AS role) d LEFT JOIN r ON r.role = d.role AND r.corpus = c.corpus GROUP BY 1, 2),
+    stale AS (SELECT corpus, count(*) AS n FROM (SELECT c.corpus, v.post FROM (SELECT unnest(['all', 'synthetic', 'first']) AS corpus) c, (SELECT DISTINCT unnest(val_posts) AS post FROM train_corpus) v EXCEPT SELECT corpus, source FROM x) GROUP BY 1)
+    SELECT corpus, role, 'few posts' AS warning FROM s WHERE posts < 10 UNION ALL SELECT corpus, role, 'few pairs' FROM s WHERE pairs < 50
+    UNION ALL SELECT corpus, role, 'eval is all synthetic' FROM s WHERE role = 'eval' AND pairs > 0 AND real = 0 UNION ALL SELECT corpus, role, 'cross validation unstable' FROM s WHERE role = 'detector' AND posts < 8
+    UNION ALL SELECT corpus, 'eval', 'stale pinned posts' FROM stale WHERE n > 0"""
+)
 def danger_report(spark: SparkSession, d: str) -> DataFrame:
-    posts = table(spark, d, "pairs").select(F.col("source").alias("post")).distinct()
-    stale = table(spark, d, "train_corpus").select(F.explode("val_posts").alias("post")).distinct().join(posts, "post", "left_anti")
-    return splits.danger_report(role_summary(spark, d), stale)
+    """Warnings of three corpora: all pairs, the synthetic ones, those of the first post."""
+    pairs, contract = _once(spark, d).select("pair_id", "source", "synthetic"), _contract(spark, d)
+    first = pairs.agg(F.min("source")).first()[0]
+    pinned = table(spark, d, "train_corpus").select(F.explode("val_posts").alias("post")).distinct()
+    out = []
+    for name, rows in (("all", pairs), ("synthetic", pairs.filter("synthetic")), ("first", pairs.filter(F.col("source") == first))):
+        stale = pinned.join(rows.select(F.col("source").alias("post")).distinct(), "post", "left_anti")
+        out.append(splits.danger_report(splits.role_summary(splits.with_role(rows, contract)), stale).withColumn("corpus", F.lit(name)))
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
 @query("SELECT DISTINCT v AS post FROM (SELECT unnest(val_posts) AS v FROM train_corpus) INTERSECT SELECT source FROM pairs")
 def pinned_present(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "train_corpus").select(F.explode("val_posts").alias("post")).intersect(table(spark, d, "pairs").select(F.col("source").alias("post")))
+    return splits.present(table(spark, d, "train_corpus").select(F.explode("val_posts").alias("post")), table(spark, d, "pairs").select(F.col("source").alias("post")))
 
 
 @query("SELECT source AS post FROM posts EXCEPT SELECT unnest(val_posts) FROM train_corpus")
 def posts_left(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "posts").select(F.col("source").alias("post")).subtract(table(spark, d, "train_corpus").select(F.explode("val_posts").alias("post")))
+    return splits.remaining(table(spark, d, "posts").select(F.col("source").alias("post")), table(spark, d, "train_corpus").select(F.explode("val_posts").alias("post")))
 
 
 @query(
@@ -328,15 +346,22 @@ def shuffled_folds(spark: SparkSession, d: str) -> DataFrame:
     return splits.shuffle_folds(table(spark, d, "pairs").select(F.col("source").alias("post")))
 
 
-@query()
+@query(
+    """WITH RECURSIVE s AS (SELECT post, n, row_number() OVER (ORDER BY n DESC, post) AS k FROM (SELECT source AS post, count(*) AS n FROM pairs WHERE source IS NOT NULL GROUP BY 1)),
+    r AS (SELECT k, post, 0 AS fold, [n, 0, 0, 0]::BIGINT[] AS load FROM s WHERE k = 1 UNION ALL
+    SELECT s.k, s.post, f.fold, list_transform(r.load, lambda x, i: CASE WHEN i = f.fold + 1 THEN x + s.n ELSE x END) FROM r JOIN s ON s.k = r.k + 1, LATERAL (SELECT list_position(r.load, list_min(r.load)) - 1 AS fold) f)
+    SELECT post, fold::INT AS fold FROM r"""
+)
 def by_post_folds(spark: SparkSession, d: str) -> DataFrame:
-    """Shuffled test folds and balanced inner folds of the posts."""
-    sizes = table(spark, d, "pairs").filter("source is not null").groupBy(F.col("source").alias("post")).agg(F.count(F.lit(1)).alias("n"))
-    a = splits.shuffle_folds(sizes.select("post")).select("post", "fold", F.lit("shuffle").alias("kind"))
-    return a.unionByName(splits.balanced_folds(sizes).withColumn("kind", F.lit("balanced")))
+    """Balanced inner folds of the posts."""
+    return splits.balanced_folds(table(spark, d, "pairs").filter("source is not null").groupBy(F.col("source").alias("post")).agg(F.count(F.lit(1)).alias("n")))
 
 
 # --- pairs -------------------------------------------------------------------
+def _anchors(x: str) -> str:
+    return f"list_concat(regexp_extract_all({x}, '{text.LINK_TARGET}', 1), list_concat(regexp_extract_all({x}, '{text.BARE_URL}', 1), regexp_extract_all({x}, '{text.CITE_KEY}')))"
+
+
 @query(f"SELECT pair_id, {_body(2)} AS slop, {_body(3)} AS target FROM {_PAIRS}")
 def pair_extract(spark: SparkSession, d: str) -> DataFrame:
     m, c = F.col("messages"), F.col("context")
@@ -407,7 +432,10 @@ def anchors(spark: SparkSession, d: str) -> DataFrame:
     return _once(spark, d).filter(P.content(m, 2).isNotNull()).select("pair_id", F.array_sort(text.anchors(P.extract(m, c, "target"))).alias("anchors"))
 
 
-@query()
+@query(
+    f"""WITH a AS (SELECT pair_id, {_anchors(_body(2))} AS want, {_anchors(_body(3))} AS have FROM {_PAIRS})
+    SELECT pair_id, lost FROM (SELECT pair_id, list_sort(list_filter(list_distinct(want), lambda k: len(list_filter(have, lambda x: x = k)) < len(list_filter(want, lambda y: y = k)))) AS lost FROM a) WHERE len(lost) > 0"""
+)
 def anchors_lost(spark: SparkSession, d: str) -> DataFrame:
     m, c = F.col("messages"), F.col("context")
     return _once(spark, d).select("pair_id", text.missing_anchors(P.extract(m, c, "slop"), P.extract(m, c, "target")).alias("lost")).filter(F.size("lost") > 0)
@@ -415,7 +443,7 @@ def anchors_lost(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT generator, count(*) AS outputs FROM (SELECT DISTINCT output_id, generator FROM gen_outputs) GROUP BY generator")
 def count_by_generator(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "gen_outputs").select("output_id", "generator").distinct().groupBy("generator").agg(F.count(F.lit(1)).alias("outputs"))
+    return S.count_by(table(spark, d, "gen_outputs").select("output_id", "generator").distinct(), "generator", "outputs")
 
 
 @query("SELECT DISTINCT output_id, length(text) // 4 AS tokens, CASE WHEN age < 60 THEN 'just now' WHEN age < 3600 THEN (age // 60)::VARCHAR || 'm ago' WHEN age < 86400 THEN (age // 3600)::VARCHAR || 'h ago' WHEN age < 1209600 THEN (age // 86400)::VARCHAR || 'd ago' ELSE (age // 604800)::VARCHAR || 'w ago' END AS age FROM (SELECT output_id, text, floor(epoch(TIMESTAMPTZ '2030-01-01 00:00:00+00') - epoch(created_at))::BIGINT AS age FROM gen_outputs)")
@@ -543,7 +571,9 @@ def covariates(spark: SparkSession, d: str) -> DataFrame:
     return wide.select("output_id", F.col("`meta.model`").alias("model"), F.col("`meta.reasoning_effort`").alias("reasoning_effort"), F.round("`meta.temperature`", 6).alias("temperature"), F.col("`meta.finish_reason`").alias("finish_reason"), F.col("`meta.prompt_tokens`").alias("prompt_tokens"), F.col("`meta.completion_tokens`").alias("completion_tokens"), "generator", "slop_strategy")
 
 
-@query()
+@query(
+    "SELECT DISTINCT output_id, meta.model AS model, meta.reasoning_effort AS reasoning_effort, meta.completion_tokens AS completion_tokens, meta.finish_reason AS finish_reason, generator, meta.prompt_tokens AS prompt_tokens, slop_strategy, round(meta.temperature, 6) AS temperature FROM gen_outputs"
+)
 def covariate_table(spark: SparkSession, d: str) -> DataFrame:
     """The wide table without its constant columns."""
     g = covariates(spark, d).withColumn("corpus", F.lit("main"))
@@ -597,20 +627,35 @@ def rewrite_round(spark: SparkSession, d: str) -> DataFrame:
     return corpus.rewrite(spread(table(spark, d, "documents").select("doc_id", "text")), _fold_spaces, lambda t: float(len(t)))
 
 
-@query()
+@query(
+    """WITH RECURSIVE t AS (SELECT *, row_number() OVER (PARTITION BY arm ORDER BY item, tokens) AS k FROM (SELECT DISTINCT coalesce(generator, '?') AS arm, output_id AS item, coalesce(length(text), 0) // 4 AS tokens FROM gen_outputs)),
+    r AS (SELECT arm, k, item, 0 AS session, 0 AS turn, tokens AS used FROM t WHERE k = 1 UNION ALL
+    SELECT t.arm, t.k, t.item, r.session + f.fresh, CASE WHEN f.fresh = 1 THEN 0 ELSE r.turn + 1 END, CASE WHEN f.fresh = 1 THEN t.tokens ELSE r.used + t.tokens END FROM r JOIN t ON t.arm = r.arm AND t.k = r.k + 1, LATERAL (SELECT CASE WHEN r.turn + 1 >= 16 OR r.used + t.tokens > 32000 THEN 1 ELSE 0 END AS fresh) f)
+    SELECT arm, session::INT AS session, turn::INT AS turn, item::VARCHAR AS item FROM r"""
+)
 def session_budget(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "gen_outputs").select(F.coalesce("generator", F.lit("?")).alias("arm"), F.col("output_id").alias("item"), F.coalesce(text.estimate_tokens(F.col("text")), F.lit(0)).alias("tokens")).distinct()
     return corpus.session_plan(t, 32_000, 16, ["item"])
 
 
-@query()
+@query(
+    f"""SELECT 'o' || output_id AS id, coalesce(nullif(regexp_extract(text, '\\b([1-5])\\b', 1), '')::INT, 3) AS score, {_strip('text')} AS rationale FROM (SELECT DISTINCT output_id, text FROM gen_outputs WHERE text IS NOT NULL)
+    UNION ALL SELECT 'e' || event_id, coalesce(nullif(regexp_extract(props, '\\b([1-5])\\b', 1), '')::INT, 3), props FROM events
+    UNION ALL SELECT 'm' || output_id, greatest(1, least(5, n // 60))::INT, 'after ' || n FROM (SELECT DISTINCT output_id, coalesce(meta.completion_tokens, 0) AS n, text FROM gen_outputs)"""
+)
 def judge_replies(spark: SparkSession, d: str) -> DataFrame:
-    """Judge replies read from the event properties and free text."""
-    reply = F.concat(F.lit('I would say {"score": '), (F.col("event_id") % 9).cast("string"), F.lit(', "rationale": "as is"} overall'))
-    return table(spark, d, "events").select("event_id", blocks.judge_reply_udf(reply).alias("j")).select("event_id", "j.score", "j.rationale")
+    """Judge replies of three kinds: free text, JSON without a score, and a score in JSON after a text."""
+    g = table(spark, d, "gen_outputs").select("output_id", "text", F.coalesce("meta.completion_tokens", F.lit(0)).alias("n")).distinct()
+    free = g.filter("text is not null").select(F.concat(F.lit("o"), F.col("output_id")).alias("id"), F.col("text").alias("reply")).distinct()
+    other = table(spark, d, "events").select(F.concat(F.lit("e"), F.col("event_id")).alias("id"), F.col("props").alias("reply"))
+    scored = g.select(F.concat(F.lit("m"), F.col("output_id")).alias("id"), F.concat(F.coalesce("text", F.lit("")), F.lit(" So: "), F.to_json(F.struct(F.floor(F.col("n") / 60).alias("score"), F.concat(F.lit("after "), F.col("n")).alias("rationale")))).alias("reply"))
+    return free.unionByName(other).unionByName(scored).select("id", blocks.judge_reply_udf("reply").alias("j")).select("id", "j.score", "j.rationale")
 
 
-@query()
+@query(
+    f"""WITH p AS (SELECT pair_id, coalesce(source, '?') AS post, coalesce(synthetic, false) AS synthetic, {_strip(_body(2))} AS a, {_strip(_body(3))} AS b FROM {_PAIRS} WHERE coalesce(transform_sim <= 0.85::DOUBLE, true))
+    SELECT pair_id || ':' || label AS row_id, pair_id AS pair_row, post, CASE WHEN label = 1 THEN a ELSE b END AS text, label, synthetic, false AS is_free FROM p, (SELECT unnest([0, 1])::INT AS label) WHERE coalesce(a, '') <> '' AND coalesce(b, '') <> ''"""
+)
 def dataset_rows(spark: SparkSession, d: str) -> DataFrame:
     return model.assemble(_once(spark, d))
 
@@ -633,14 +678,21 @@ def classifier(spark: SparkSession, d: str) -> DataFrame:
     return model.evaluate_holdout(rows, held)
 
 
-@query()
+@query(
+    """SELECT CASE WHEN event_id % 10 = 0 THEN '{"id":"' || event_id || '","meta":{"model":"length"}}' ELSE '{"id":"' || event_id || '","scores":[' || round(length(event_type) / 100.0::DOUBLE, 6) || ',' || round(length(props) / 100.0::DOUBLE, 6) || ']}' END AS value FROM events"""
+)
 def serve_lines(spark: SparkSession, d: str) -> DataFrame:
     """The line scorer's answers over the events as requests (the stream's function on a table)."""
     lines = table(spark, d, "events").select(F.to_json(F.struct(F.col("event_id").cast("string").alias("id"), F.when(F.col("event_id") % 10 == 0, "meta").otherwise("score").alias("op"), F.array(F.col("event_type"), F.col("props")).alias("texts"))).alias("value"))
     return streams.answers(lines, lambda t: F.round(F.length(t) / 100.0, 6), {"model": "length"})
 
 
-@query()
+@query(
+    """WITH e AS (SELECT user_id::VARCHAR AS source, ['open', 'save', 'save', 'drop'][event_id % 4 + 1] AS op, printf('%012d', event_id) AS tm, props AS content FROM events),
+    n AS (SELECT *, count(*) FILTER (op = 'drop') OVER (PARTITION BY source ORDER BY tm) AS drops FROM e),
+    o AS (SELECT *, first_value(CASE WHEN op = 'open' THEN tm END IGNORE NULLS) OVER w AS opened, first_value(CASE WHEN op = 'open' THEN content END IGNORE NULLS) OVER w AS before FROM n WINDOW w AS (PARTITION BY source, drops ORDER BY tm ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+    SELECT source, opened AS snapped_at, arg_max(before, tm) AS before, arg_max(content, tm) AS after, 'save' AS reason FROM o WHERE op = 'save' AND opened IS NOT NULL AND content <> before GROUP BY source, opened"""
+)
 def capture_sessions(spark: SparkSession, d: str) -> DataFrame:
     """The last save of every capture session in the event log (open, save, drop by user)."""
     op = F.get(F.array(F.lit("open"), F.lit("save"), F.lit("save"), F.lit("drop")), (F.col("event_id") % 4).cast("int"))

@@ -125,7 +125,7 @@ def fold_statistics(spark: SparkSession, d: str) -> DataFrame:
     return model.fold_stats(per, "m")
 
 
-@query(f"SELECT pair_row::VARCHAR AS id, round(d, 6) AS draft, round(a, 6) AS rewrite, round(d, 6) - round(a, 6) AS delta FROM (SELECT pair_row, max(CASE WHEN label = 1 THEN score END) AS d, max(CASE WHEN label = 0 THEN score END) AS a FROM {_SCORED_SQL} GROUP BY 1)".replace("round(d, 6) - round(a, 6) AS delta", "round((round(d, 6) - round(a, 6)), 2) AS delta"))
+@query(f"SELECT pair_row::VARCHAR AS id, round(d, 6) AS draft, round(a, 6) AS rewrite, round(d, 6) - round(a, 6) AS delta FROM (SELECT pair_row, max(CASE WHEN label = 1 THEN score END) AS d, max(CASE WHEN label = 0 THEN score END) AS a FROM {_SCORED_SQL} GROUP BY 1)".replace("round(d, 6) - round(a, 6) AS delta", "round((round(d, 6) - round(a, 6)), 2) + 0.0::DOUBLE AS delta"))
 def paired_scores(spark: SparkSession, d: str) -> DataFrame:
     """Draft, rewrite and fall of the detector's score of each pair."""
     s = _scored(spark, d).select(F.col("pair_row").cast("string").alias("id"), F.when(F.col("label") == 1, "slop").when(F.col("label") == 0, "target").alias("field"), F.struct(F.round("score", 6).alias("score")).alias("detector"))
