@@ -10,12 +10,13 @@ import argparse
 import importlib
 import json
 import sys
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from draftloom.functions import text
-from draftloom.operators import corpus, model, pairs as P, scores as S, splits, targets as T
+from draftloom.operators import captures, corpus, model, pairs as P, scores as S, splits, targets as T
 from draftloom.plans import report
 from draftloom.sources import jsonl, posts as posts_source
 from draftloom.streaming import streams
@@ -90,16 +91,21 @@ def cmd_splits(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def cmd_train_clf(spark: SparkSession, a: argparse.Namespace) -> None:
+    """The classifier in one of three modes: by splits, with held-out posts, or on everything."""
+    if a.splits and (a.holdout_frac or a.holdout_posts):
+        sys.exit("--splits goes without --holdout-frac and --holdout-posts")
     p = flat_pairs(spark, a.pairs)
+    embedded = lambda rows: model.embed(model.assemble(rows), hook(a.hook)).persist()
     if a.splits:
-        p = splits.with_role(p, jsonl.read_json(spark, a.splits, splits.VERSION)).filter("role = 'detector'")
-    rows = model.embed(model.assemble(p), hook(a.hook)).persist()
-    sizes = rows.groupBy("post").agg(F.count(F.lit(1)).alias("n"))
-    c = a.c or model.choose_c(rows, splits.balanced_folds(sizes))
-    per, stats = model.evaluate(rows, splits.shuffle_folds(sizes.select("post")), c)
-    head = model.head_of(model.fit(rows, c)) | {"C": c, "metrics": [r.asDict() for r in stats.collect()]}
-    jsonl.write_json(spark, a.out, head)
-    print(json.dumps(head["metrics"]))
+        contract = jsonl.read_json(spark, a.splits, splits.VERSION)
+        p = splits.with_role(p, contract)  # posts for evaluation are not even embedded
+        styler = embedded(p.filter("role = 'styler'"))
+        meta = model.train_head(embedded(p.filter("role = 'detector'")), a.out, "splits", a.c, unseen=styler, split={"path": a.splits, "seed": contract["seed"], "rest_rule": contract["rest_rule"]})
+    else:
+        rows = embedded(p)
+        held = splits.held_out(rows.select("post"), a.holdout_frac, a.seed, a.holdout_posts) if a.holdout_frac or a.holdout_posts else None
+        meta = model.train_head(rows, a.out, "all" if held is None else "holdout", a.c, held, split=None if held is None else {"holdout_frac": a.holdout_frac, "holdout_seed": a.seed})
+    print(json.dumps(meta["metrics"]))
 
 
 def cmd_train(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -140,14 +146,33 @@ def cmd_log(spark: SparkSession, a: argparse.Namespace) -> None:
         raw = jsonl.read_jsonl(spark, a.pairs, jsonl.PAIR, keep_raw=True).select("_line", "_raw", "meta.source", "meta.captured_at")
         kept = P.latest_per_source(raw.filter("_raw is null")).unionByName(raw.filter("_raw is not null"))
         jsonl.rewrite_jsonl(kept.select("_line"), a.pairs)
-    else:
-        before, after = (spark.read.text(x, wholetext=True).first()[0] for x in (a.before, a.after))
-        if before == after:
-            sys.exit("the texts are equal")
-        d = P.diff_captures(spark.createDataFrame([(a.source, before, after)], "source string, before string, after string"))
-        said = lambda r, c: F.struct(F.lit(r).alias("role"), c.alias("content"))
-        meta = F.struct("source", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("captured_at"), F.substring(F.sha2(F.concat("source", "before"), 256), 1, 8).alias("capture_id"), "chunk_index", "chunk_total", "context")
-        jsonl.append_jsonl(d.select(F.array(said("system", F.lit(a.system)), said("user", text.pair_content(F.col("context"), F.col("before"))), said("assistant", text.pair_content(F.col("context"), F.col("after")))).alias("messages"), meta.alias("meta")), a.pairs)
+    elif a.action == "sessions":
+        captures.open_sessions(spark, a.sessions).select("source", "snapped_at", F.length("content").alias("chars")).orderBy("snapped_at").show(1000, False)
+    elif a.action == "forget":
+        print("dropped" if captures.drop_session(spark, a.sessions, a.source) else "nothing open")
+    elif a.action in ("open", "save"):
+        now = whole_text(spark, a.after)
+        try:
+            if a.action == "open":
+                print("opened", captures.open_session(spark, a.sessions, a.source, now))
+            else:
+                print("saved", captures.save_session(spark, a.sessions, a.pairs, a.source, now, a.system, a.earlier, a.keep_open, a.whole, not a.no_context, a.tag), "pair(s)")
+        except ValueError as e:
+            sys.exit(str(e))
+    else:  # two given versions: a session that is opened and saved at once
+        store = f"{a.pairs.rstrip('/')}.pair-{uuid.uuid4().hex}"
+        try:
+            captures.open_session(spark, store, a.source, whole_text(spark, a.before))
+            captures.save_session(spark, store, a.pairs, a.source, whole_text(spark, a.after), a.system, "append", whole=a.whole)
+        except ValueError as e:
+            sys.exit(str(e))
+        finally:
+            jsonl.delete(spark, store)
+
+
+def whole_text(spark: SparkSession, path: str) -> str:
+    """A text file, or what comes in on standard input for '-'."""
+    return sys.stdin.read() if path == "-" else spark.read.text(path, wholetext=True).first()[0]
 
 
 def parser() -> argparse.ArgumentParser:
@@ -168,11 +193,11 @@ def parser() -> argparse.ArgumentParser:
     add("eval", cmd_eval, ("--pairs", need), ("--scores", need), ("--hook", need), ("--score-field", dict(default="slop", choices=list(P.FIELDS))))
     add("export-table", cmd_export, ("--scores", need), ("--out", need))
     add("make-splits", cmd_splits, ("--pairs", need), ("--out", need), ("--eval-frac", num(float, 0.1)), ("--detector-frac", num(float, 0.4)), ("--seed", num(int, 0)), ("--force", yes))
-    add("train-clf", cmd_train_clf, ("--pairs", need), ("--out", need), ("--hook", need), ("--splits", {}), ("--c", num(float, None)))
+    add("train-clf", cmd_train_clf, ("--pairs", need), ("--out", need), ("--hook", need), ("--splits", {}), ("--c", num(float, None)), ("--holdout-frac", num(float, 0.0)), ("--holdout-posts", dict(nargs="*", default=None)), ("--seed", num(int, 0)))
     add("train", cmd_train, ("--pairs", need), ("--out", need), ("--system", need), ("--splits", {}), ("--val-frac", num(float, 0.1)), ("--seed", num(int, 0)), ("--cap", num(int, None)), ("--price", num(float, 0.0)), ("--hook", {}), ("--dry-run", yes))
     add("run", cmd_run, ("--docs", need), ("--out", need), ("--hook", need), ("--samples", num(int, 4)), ("--no-guard", yes))
     add("serve", cmd_serve, ("--requests", need), ("--out", need), ("--checkpoint", need), ("--hook", need))
-    add("log", cmd_log, ("action", dict(choices=["list", "drop", "tidy", "pair"])), ("--pairs", need), ("--source", dict(default="")), ("--before", {}), ("--after", {}), ("--system", dict(default="")))
+    add("log", cmd_log, ("action", dict(choices=["list", "drop", "tidy", "pair", "open", "save", "sessions", "forget"])), ("--pairs", need), ("--source", dict(default="")), ("--before", {}), ("--after", {}), ("--system", dict(default="")), ("--sessions", dict(default="sessions")), ("--earlier", dict(default="smart", choices=["smart", "replace", "append"])), ("--keep-open", yes), ("--whole", yes), ("--no-context", yes), ("--tag", dict(nargs="*", default=None)))
     return top
 
 

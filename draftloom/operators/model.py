@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from draftloom.functions import text
 from draftloom.operators.pairs import extract, near_identity
-from draftloom.operators.splits import balanced_folds
+from draftloom.operators.splits import balanced_folds, shuffle_folds
 
 GRID = [0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0]
 
@@ -240,3 +240,30 @@ def load_artifact(spark, path: str) -> tuple[dict, dict]:
     if meta.get("embed_dim") not in (None, len(coef)):
         raise ValueError(f"{path}: {len(coef)} coefficients for embeddings of {meta['embed_dim']}")
     return head, meta
+
+
+def train_head(rows: DataFrame, path: str, mode: str = "all", c: float | None = None, held: DataFrame | None = None, unseen: DataFrame | None = None, split: dict | None = None, embed_model: str = "") -> dict:
+    """Choose C, measure, fit and write an artifact; returns its meta.
+
+    ``all``: measured by shuffled folds of posts, fitted on all rows.
+    ``holdout``: measured on the held-out posts, fitted on the others.
+    ``splits``: rows are the detector's; measured by folds, and on ``unseen``
+    rows of other posts (the styler's) with the same head; fitted on all rows.
+    """
+    spark = rows.sparkSession
+    if not rows.filter("pair_row is not null").take(1):
+        raise ValueError("no pairs to train on")
+    if mode not in ("all", "holdout", "splits") or (mode == "holdout") != (held is not None):
+        raise ValueError("mode must be all, splits, or holdout with held-out posts")
+    mine = rows if held is None else rows.join(held.select("post"), "post", "left_anti")
+    chosen = c if c is not None else choose_c(mine, balanced_folds(sized_posts(mine)))
+    head = head_of(fit(mine, chosen))
+    if mode == "holdout":
+        metrics = [r.asDict() for r in evaluate_holdout(rows, held, chosen).collect()]
+        split = {"holdout_posts": sorted(r[0] for r in held.select("post").toLocalIterator())} | (split or {})  # the artifact lists them
+    else:
+        metrics = [r.asDict() for r in evaluate(mine, shuffle_folds(mine.select("post")), chosen)[1].collect()]
+    if unseen is not None:
+        s = predict(unseen.filter(~F.col("is_free")), head)
+        metrics.append({"metric": "styler_holdout", "pairwise_accuracy": pairwise_accuracy(s).first()[0], "auc": auc(s).first()[0]})
+    return write_artifact(spark, path, head, mine, metrics, {"mode": {"all": "fit_all"}.get(mode, mode)} | (split or {}), {"mode": "fixed" if c is not None else "nested", "value": chosen}, embed_model)

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import os
+import shutil
+import subprocess
+import tempfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from draftloom.functions.blocks import judge_reply
 from draftloom.session import checkpoint
 
 #: Severities a prose linter reports.
@@ -117,6 +123,39 @@ def flatten(schema, sep: str = ".") -> list[Column]:
 Signal = Callable[[str], dict | None]
 
 
+def prose_linter(binary: str = "vale", config: str | None = None) -> Signal:
+    """A signal from a prose linter on the workers' path, run on a Markdown file, since styles are scoped by file name.
+
+    Where the binary is missing, fails or answers with an error the signal is
+    not available, and nothing is raised.
+    """
+
+    def lint(text: str) -> dict:
+        none = {"available": False, "alerts": 0}
+        exe = shutil.which(binary)
+        if exe is None:
+            return none
+        with tempfile.TemporaryDirectory() as d:
+            path = os.path.join(d, "text.md")
+            with open(path, "w", encoding="utf-8") as f:
+                f.write(text)
+            try:
+                said = subprocess.run([exe, "--output=JSON", *([f"--config={config}"] if config else []), path], capture_output=True, text=True, check=False).stdout
+                found = json.loads(said)
+            except (OSError, ValueError):
+                return none
+        if not isinstance(found, dict) or found.get("Code"):
+            return none
+        return {"available": True, "alerts": sum(isinstance(a, dict) for alerts in found.values() if isinstance(alerts, list) for a in alerts)}
+
+    return lint
+
+
+def judge(ask: Callable[[str], str]) -> Signal:
+    """A signal from a judge's replies: ``ask`` sends a text and returns the reply."""
+    return lambda text: dict(zip(("score", "rationale"), judge_reply(ask(text))))
+
+
 def score_rows(rows: DataFrame, done: DataFrame, signals: dict[str, Signal], id_col: str = "id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(records, errors) of rows not scored yet, each id once; a signal that raises gives an error row, not a failed job.
 

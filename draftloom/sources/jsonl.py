@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +12,7 @@ from pyspark.sql.types import StructType
 
 #: The known keys of a pair record.
 GEN = "struct<model:string,reasoning_effort:string,temperature:double,top_p:double,max_tokens:int,finish_reason:string,prompt_tokens:int,completion_tokens:int,reasoning_tokens:int,cached_tokens:int,cost:double,gen_seconds:double,provider:string,provider_sort:string,prompt_id:string,prompt_version:int,prompt_label:string,replicate:string,session_id:string,session_turn:int,context_window:int,window_fill:double>"
-META = f"struct<source:string,captured_at:string,capture_id:string,chunk_index:int,chunk_total:int,context:string,transform_sim:double,synthetic:boolean,generator:string,slop_strategy:string,synth_key:string,tags:array<string>,gen:{GEN}>"
+META = f"struct<source:string,captured_at:string,capture_id:string,chunk_index:int,chunk_total:int,snapped_at:string,context:string,transform_sim:double,synthetic:boolean,generator:string,slop_strategy:string,synth_key:string,tags:array<string>,gen:{GEN}>"
 PAIR = f"messages array<struct<role:string,content:string>>, meta {META}"
 
 
@@ -59,6 +58,12 @@ def rewrite_jsonl(rows: DataFrame, path: str) -> None:
     fs.delete(old, True)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def remove_source(spark: SparkSession, path: str, source: str) -> int:
     """Delete the pairs of one source; other lines stay as written, undecodable ones too. Returns how many went."""
     rows = read_jsonl(spark, path, PAIR, keep_raw=True)
@@ -129,10 +134,6 @@ def setting(flag: str | None, env: str, default: str | None = None) -> str:
     return value
 
 
-def remove_tree(path: str) -> None:
-    shutil.rmtree(path, ignore_errors=True)
-
-
 def final_metrics(log: DataFrame) -> DataFrame:
     """(key, value) of a training log (line_no, key, value): the last value of each loss key, the sum of token counts."""
     last = log.filter("key not like '%tokens%'").groupBy("key").agg(F.max_by("value", "line_no").alias("value"))
