@@ -10,6 +10,7 @@ the last sentence ended; stop words vote for the language of each side.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,6 +22,19 @@ from pyspark.sql import functions as F
 from draftloom.session import spread
 
 WORD = re.compile(r"[^\W_]+")
+_ASCII = str.maketrans({c: " " for c in map(chr, range(128)) if not c.isalnum()})
+
+
+def words_in(text: str) -> list[str]:
+    """``WORD.findall``: plain ASCII, once common marks are spaces, is cut by a table instead of a pattern."""
+    plain = text
+    if not plain.isascii():
+        for c in "“”‘’—–…":
+            plain = plain.replace(c, " ")
+        if not plain.isascii():
+            return WORD.findall(text)
+    return plain.translate(_ASCII).split()
+
 
 # --- empty -----------------------------------------------------------------
 #: Words that stand for a missing value.
@@ -194,8 +208,8 @@ _AROUND = re.compile(
 
 def _covered(prompt: str, answer: str) -> float:
     """The share of the prompt's longer words that occur in the answer."""
-    of = {w for w in WORD.findall(prompt.casefold()) if len(w) > 3}
-    return len(of.intersection(WORD.findall(answer.casefold()))) / len(of) if of else 0.0
+    of = {w for w in words_in(prompt.casefold()) if len(w) > 3}
+    return len(of.intersection(words_in(answer.casefold()))) / len(of) if of else 0.0
 
 
 def is_refusal(answer: str, prompt: str | None = None) -> bool:
@@ -208,13 +222,15 @@ def is_refusal(answer: str, prompt: str | None = None) -> bool:
     plain = _QUOTED.sub(" ", answer.replace("’", "'").replace("`", ""))
     sentences = [s for s in _SENT.findall(plain) if WORD.search(s)]
 
-    if len(sentences) <= 4 and any(map(_declines, sentences[:2])):
+    said = [_declines(s) for s in sentences]
+    if not any(said):
+        return False
+    if len(sentences) <= 4 and any(said[:2]):
         return True
     around = [bool(_AROUND.search(s)) for s in sentences]
     if 4 * sum(around) < len(sentences) or prompt is not None and _covered(prompt, plain) > 0.35:
         return False
-    said = [_declines(s) for s in sentences]
-    return any(said) and 2 * sum(a or b for a, b in zip(around, said)) >= len(sentences)
+    return 2 * sum(a or b for a, b in zip(around, said)) >= len(sentences)
 
 
 # --- copy ------------------------------------------------------------------
@@ -289,7 +305,7 @@ def _edits(a: list[str], b: list[str], most: int) -> int:
 
 def is_copy(prompt: str, answer: str) -> bool:
     """The answer's words are the prompt's but for one in twenty and a line of introduction."""
-    p = WORD.findall(prompt.casefold())
+    p = words_in(prompt.casefold())
     if not p:
         return False
     tries = [answer]
@@ -302,7 +318,7 @@ def is_copy(prompt: str, answer: str) -> bool:
     most = max(len(p) // 20, 0)
     automaton = None
     for t in tries:
-        a = WORD.findall(t.casefold())
+        a = words_in(t.casefold())
         if not a or abs(len(a) - len(p)) > most or len(of.difference(a)) > most:
             continue
         automaton = automaton or SuffixAutomaton(p)
@@ -340,9 +356,10 @@ def votes(text: str) -> dict[str, int]:
     """Language -> votes of stop words, or characters in its own script."""
     text = _NOT_PROSE.sub(" ", text)
     out: dict[str, int] = {}
-    for w in WORD.findall(text.lower()):
-        for lang in _VOTES.get(w, ()):
-            out[lang] = out.get(lang, 0) + 1
+    said = Counter(words_in(text.lower()))
+    for w in _VOTES.keys() & said.keys():
+        for lang in _VOTES[w]:
+            out[lang] = out.get(lang, 0) + said[w]
     if not text.isascii():
         for lang, pat in _SCRIPTS:
             n = sum(map(len, pat.findall(text)))

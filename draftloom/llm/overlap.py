@@ -15,7 +15,6 @@ bands with 0.964 or more.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache, reduce
 from itertools import chain
@@ -26,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from draftloom.llm.defects import turn, without_heading
+from draftloom.llm.defects import turn, without_heading, words_in
 from draftloom.llm.markup import bare
 from draftloom.session import scratch, spread
 
@@ -37,13 +36,10 @@ LEAST_WORDS, SHARE = 25, 0.75
 #: Ids that are broadcast at most (8 bytes each, 8 MB); beyond, the texts are fetched by a shuffled join.
 BROADCAST_IDS = 1_000_000
 
-_WORD = re.compile(r"[^\W_]+")
-
-
 def words_of(content: str | None, context: str | None) -> list[str]:
     """Lower-case runs of letters or digits, without the context heading and markup."""
     body = without_heading(content, context)
-    return _WORD.findall(bare(body).lower()) if body else []
+    return words_in(bare(body).lower()) if body else []
 
 
 @lru_cache(200_000)

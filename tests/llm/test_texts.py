@@ -1,6 +1,8 @@
 """Markup, defects and wrong encodings on small cases, round trips and held-out texts."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from draftloom.llm import defects, labeller, markup, mojibake
@@ -288,3 +290,9 @@ def test_weights_are_kept(spark, net, monkeypatch):
     monkeypatch.setattr(labeller, "_TRAINED", [])
     again = labeller.trained(spark)
     assert again is not net and all((again.p[k] == net.p[k]).all() and again.p[k].dtype == np.float32 for k in net.p)
+
+
+@settings(max_examples=300, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.text(st.one_of(st.characters(), st.sampled_from("aZ09_ .,-“”’—…é\x1c\x85\n")), max_size=60))
+def test_words_equal_the_pattern(text):
+    assert defects.words_in(text) == defects.WORD.findall(text)
