@@ -96,5 +96,6 @@ def spread(df: DataFrame) -> DataFrame:
     leaves = plan.collectLeaves()
     if leaves.size() != 1 or " Aggregate [" in f" {plan.toString()}":
         return df
-    stored = int(leaves.apply(0).stats().sizeInBytes())
-    return df.repartition(sc.defaultParallelism) if stored < SPLIT * sc.defaultParallelism else df
+    stored, cores = int(leaves.apply(0).stats().sizeInBytes()), sc.defaultParallelism
+    few = stored < SPLIT * cores and len(df.inputFiles()) < cores
+    return df.repartition(cores) if few else df
