@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from draftloom.llm import chunking, defects, groups, labeller, mojibake, overlap, packing, sampling, tokens
+from draftloom.llm import chunking, defects, groups, labeller, mojibake, overlap, packing, sampling, tokens, twins
 from draftloom.session import table
 
 
@@ -67,7 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "p6_found": "SELECT DISTINCT target_id FROM targets WHERE length(text) > 8000",
-}
+} | twins.SQL
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:

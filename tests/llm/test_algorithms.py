@@ -342,3 +342,20 @@ def test_long_words(spark):
     got = {x[0]: x[1] for x in tokens.encode(df, "doc_id", "text").collect()}
     assert all(got[k] == REFERENCE.encode_ordinary(t) for k, t in enumerate(texts) if k)
     assert b"".join(PIECES[i] for i in got[0]) == texts[0].encode()
+
+
+@pytest.mark.parametrize("items", [30_000, 3_000_000])
+def test_plan_does_not_grow_with_the_items(items):
+    """Rows of the plan and the time it takes depend on the capacity; nearly no space is left unused."""
+    import time
+
+    r = random.Random(1)
+    counts = {}
+    for _ in range(4000):
+        s = min(4096, max(1, int(r.lognormvariate(5.5, 1.1))))
+        counts[s] = counts.get(s, 0) + items // 4000
+    start = time.time()
+    rows, containers = packing.plan(counts, 4096)
+    total = sum(s * n for s, n in counts.items())
+    assert time.time() - start < 60 and len(rows) < 3 * 4096 and containers <= total / 4096 * 1.01 + 1
+    assert {s: sum(b - a for x, a, b, *_ in rows if x == s) for s in counts} == counts
