@@ -41,6 +41,8 @@ def cmd_targets(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.report:
         with open(a.report, "w") as f:
             f.write(report.targets_report(t))
+    if a.show:
+        print(report.sample_text(t, a.show))
 
 
 def cmd_synth(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -67,7 +69,12 @@ def cmd_eval(spark: SparkSession, a: argparse.Namespace) -> None:
     good, bad = S.score_rows(rows, done, hook(a.hook)())
     jsonl.append_jsonl(good.withColumn("field", F.lit(a.score_field)), a.scores)
     print(json.dumps({"scored": good.count(), "errors": bad.count()}))
-    S.aggregate(jsonl.read_jsonl(spark, a.scores, S.SCORE), ["field"]).show(100, False)
+    every = jsonl.read_jsonl(spark, a.scores, S.SCORE)
+    S.aggregate(every, ["field"]).show(100, False)
+    if a.report:
+        texts = p.select(F.col("pair_id").cast("string").alias("id"), P.FIELDS[a.score_field](F.col("messages"), F.col("context")).alias("text"), F.lit(0).alias("ord"), "synthetic", "gen")
+        with open(a.report, "w") as f:
+            f.write(report.scores_report(every, texts))
 
 
 def cmd_export(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -188,9 +195,9 @@ def parser() -> argparse.ArgumentParser:
     need, many = dict(required=True), dict(nargs="+", required=True)
     yes = dict(action="store_true")
     num = lambda t, d: dict(type=t, default=d)
-    add("targets", cmd_targets, ("--root", need), ("--out", need), ("--human-only", yes), ("--field", dict(default="automation")), ("--max-level", num(int, 0)), ("--min-chars", num(int, 80)), ("--max-chars", num(int, 8000)), ("--merge", yes), ("--context", yes), ("--stop-at", dict(nargs="*", default=[])), ("--sample", num(float, None)), ("--sort", dict(default="none")), ("--report", {}))
+    add("targets", cmd_targets, ("--root", need), ("--out", need), ("--human-only", yes), ("--field", dict(default="automation")), ("--max-level", num(int, 0)), ("--min-chars", num(int, 80)), ("--max-chars", num(int, 8000)), ("--merge", yes), ("--context", yes), ("--stop-at", dict(nargs="*", default=[])), ("--sample", num(float, None)), ("--sort", dict(default="none")), ("--report", {}), ("--show", num(int, 0)))
     add("synth", cmd_synth, ("--targets", need), ("--pairs", need), ("--out", need), ("--model", many), ("--strategy", many), ("--effort", many), ("--kind", dict(default="gpt", choices=list(splits.ARM_NAMES))), ("--seed", num(int, 0)), ("--dropout", num(float, 0.0)), ("--per-generator", yes), ("--dry-run", yes))
-    add("eval", cmd_eval, ("--pairs", need), ("--scores", need), ("--hook", need), ("--score-field", dict(default="slop", choices=list(P.FIELDS))))
+    add("eval", cmd_eval, ("--pairs", need), ("--scores", need), ("--hook", need), ("--score-field", dict(default="slop", choices=list(P.FIELDS))), ("--report", {}))
     add("export-table", cmd_export, ("--scores", need), ("--out", need))
     add("make-splits", cmd_splits, ("--pairs", need), ("--out", need), ("--eval-frac", num(float, 0.1)), ("--detector-frac", num(float, 0.4)), ("--seed", num(int, 0)), ("--force", yes))
     add("train-clf", cmd_train_clf, ("--pairs", need), ("--out", need), ("--hook", need), ("--splits", {}), ("--c", num(float, None)), ("--holdout-frac", num(float, 0.0)), ("--holdout-posts", dict(nargs="*", default=None)), ("--seed", num(int, 0)))

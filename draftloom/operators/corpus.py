@@ -12,11 +12,12 @@ from draftloom.functions.blocks import body_chunks_udf, lost_anchors
 from draftloom.operators.pairs import content, first_n, per_target_cap
 
 
-def training_corpus(pairs: DataFrame, problems: Column, val_posts: DataFrame, role: Column | None = None, wanted: str | None = None, selector: Column | None = None, cap: int | None = None) -> tuple[DataFrame, DataFrame]:
+def training_corpus(pairs: DataFrame, problems: Column, val_posts: DataFrame, role: Column | None = None, wanted: str | None = None, selector: Column | None = None, cap: int | None = None, per_target: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """(corpus with ``part`` train or val, accounts (stage, n)): validate, role, selector, cap, split by post.
 
     Each pair meets the filters in order and is counted at the first that drops
-    it. ``val_posts`` (post) are held out whole.
+    it. ``val_posts`` (post) are held out whole. ``per_target`` is a policy on the
+    kept pairs (which of those that share a target stay); ``cap`` is the usual one.
     """
     stages = [("invalid", F.size(problems) > 0)]
     if role is not None:
@@ -27,8 +28,8 @@ def training_corpus(pairs: DataFrame, problems: Column, val_posts: DataFrame, ro
     r = pairs.withColumn("_reason", reason)
     kept = r.filter("_reason = 'kept'").drop("_reason")
     accounts = r.groupBy(F.col("_reason").alias("stage")).agg(F.count(F.lit(1)).alias("n"))
-    if cap is not None:
-        capped = per_target_cap(kept, cap, [F.col("pair_id")])
+    if cap is not None or per_target is not None:
+        capped = per_target(kept) if per_target is not None else per_target_cap(kept, cap, [F.col("pair_id")])
         accounts = accounts.unionByName(kept.agg(F.lit("capped").alias("stage"), (F.count(F.lit(1)) - F.lit(capped.count())).alias("n")))
         kept = capped
     held = val_posts.select(F.col("post").alias("_post")).distinct()

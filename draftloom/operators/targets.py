@@ -75,8 +75,10 @@ def select_targets(targets: DataFrame, role: Column | None = None, wanted: str |
     return out.filter(keys.hash_unit(salt, F.col("source"), F.col("text")) < sample_frac)
 
 
-def sort_targets(targets: DataFrame, by: str = "none") -> DataFrame:
-    """none, length (longest first) or source (then chunk_index)."""
+def sort_targets(targets: DataFrame, by: str | list[Column] = "none") -> DataFrame:
+    """none, length (longest first), source (then chunk_index), or the caller's own columns."""
+    if not isinstance(by, str):
+        return targets.orderBy(*by)
     if by == "length":
         return targets.orderBy(F.desc(F.length("text")), "source", "chunk_index")
     if by == "source":

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -39,8 +40,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not set_to:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        set_to = os.environ.get("DRAFTLOOM_LOCAL_CHECKPOINTS") or tempfile.mkdtemp(prefix="draftloom-")
-        os.environ["DRAFTLOOM_LOCAL_CHECKPOINTS"] = set_to
+        set_to = os.environ.get("DRAFTLOOM_LOCAL_CHECKPOINTS")
+        if not set_to:
+            set_to = os.environ["DRAFTLOOM_LOCAL_CHECKPOINTS"] = tempfile.mkdtemp(prefix="draftloom-")
+            atexit.register(shutil.rmtree, set_to, ignore_errors=True)  # of a local session only
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(set_to)
     return set_to

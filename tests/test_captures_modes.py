@@ -95,3 +95,30 @@ def test_generation_sessions(spark):
     assert [r[0] for r in one.select(sessions.next_prompt(F.col("h"), F.col("p"), F.col("r"), F.col("a"))).collect()] == [67, 35, 35]
     caps = spark.createDataFrame([(None, 1000), (500, 1000), (None, None)], "own int, w int")
     assert [r[0] for r in caps.select(sessions.token_cap(F.col("own"), F.col("w"), 700)).collect()] == [700, 500, 700]
+
+
+def test_strategies_hooks_and_sorts(spark):
+    from draftloom.operators import corpus, strategies, targets as T
+
+    reg = strategies.Strategies()
+    reg.load(spark.createDataFrame([("plain", "one", 1), ("plain", "two", 2)], "label string, system string, version int"))
+    assert reg.resolve("plain").version == 2 and reg.resolve("own", "text").version == 0 and len(reg.resolve("plain").prompt_id) == 12
+    with pytest.raises(ValueError, match="known: plain"):
+        reg.resolve("gone")
+    assert reg.table(spark).count() == 1
+    pairs = spark.createDataFrame([(i, f"s{i % 3}") for i in range(9)], "pair_id int, source string")
+    none = F.array().cast("array<string>")
+    kept, accounts = corpus.training_corpus(pairs, none, spark.createDataFrame([("s0",)], "post string"), per_target=lambda df: df.filter("pair_id < 6"))
+    assert kept.count() == 6 and {r.stage: r.n for r in accounts.collect()} == {"kept": 9, "capped": 3} and kept.filter("part = 'val'").count() == 2
+    assert [r.pair_id for r in T.sort_targets(pairs, [F.desc("source"), F.col("pair_id")]).limit(2).collect()] == [2, 5]
+
+
+def test_scores_report(spark):
+    from draftloom.plans import report
+
+    scores = spark.createDataFrame([("1", "slop", 0.9), ("1", "target", 0.4), ("2", "slop", 0.5), ("2", "target", None)], "id string, field string, s double").select("id", "field", F.lit(3).alias("text_chars"), F.struct(F.lit(True).alias("available"), F.lit(1).alias("alerts")).alias("vale"), F.struct(F.lit(2).alias("score"), F.lit("r").alias("rationale")).alias("judge"), F.struct(F.col("s").alias("score")).alias("detector"))
+    pairs = spark.createDataFrame([("1", "a <b> text", 0, True, ("m", 0.5, "length"))], "id string, text string, ord int, synthetic boolean, gen struct<model:string,temperature:double,finish_reason:string>")
+    page = report.scores_report(scores, pairs)
+    assert page.count("<section>") == 2 and "a &lt;b&gt; text" in page and "t=0.5 · length" in page and ">synthetic<" in page and "(text unavailable)" in page and "0.50" in page
+    assert "<table>" in report.scores_report(scores.filter("false"), pairs)
+    assert report.provenance(False, None) == '<span class="badge real">real</span>'
