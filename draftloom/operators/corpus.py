@@ -30,7 +30,8 @@ def training_corpus(pairs: DataFrame, problems: Column, val_posts: DataFrame, ro
     accounts = r.groupBy(F.col("_reason").alias("stage")).agg(F.count(F.lit(1)).alias("n"))
     if cap is not None or per_target is not None:
         capped = per_target(kept) if per_target is not None else per_target_cap(kept, cap, [F.col("pair_id")])
-        accounts = accounts.unionByName(kept.agg(F.lit("capped").alias("stage"), (F.count(F.lit(1)) - F.lit(capped.count())).alias("n")))
+        before, after = kept.agg(F.count(F.lit(1)).alias("_a")), capped.agg(F.count(F.lit(1)).alias("_b"))  # one row each, counted only if the accounts are asked for
+        accounts = accounts.unionByName(before.crossJoin(after).select(F.lit("capped").alias("stage"), (F.col("_a") - F.col("_b")).alias("n")))
         kept = capped
     held = val_posts.select(F.col("post").alias("_post")).distinct()
     j = kept.join(held, F.col("source") == F.col("_post"), "left")
@@ -49,9 +50,14 @@ def data_hash(rows: DataFrame, once: bool = False) -> str:
     return sums.select(F.substring(F.sha2(F.concat_ws(":", "n", *[f"p{k}" for k in range(4)]), 256), 1, 16)).first()[0]
 
 
-def manifest(corpus: DataFrame, data_hash: str, hyper: dict, price_per_million: float = 0.0) -> dict:
-    """Counts, tokens (characters over four) and cost of a run, from one aggregate."""
-    size = F.aggregate(F.transform("messages", lambda m: F.length(F.coalesce(m["content"], F.lit("")))), F.lit(0), lambda a, x: a + x)
+def chars(messages: Column) -> Column:
+    """Characters of all contents."""
+    return F.aggregate(F.transform(messages, lambda m: F.length(F.coalesce(m["content"], F.lit("")))), F.lit(0), lambda a, x: a + x)
+
+
+def manifest(corpus: DataFrame, data_hash: str, hyper: dict, price_per_million: float = 0.0, size: Column | None = None) -> dict:
+    """Counts, tokens (characters over four) and cost of a run, from one aggregate; ``size`` where rows carry their characters only."""
+    size = size if size is not None else chars(F.col("messages"))
     by = {r["part"]: r.asDict() for r in corpus.groupBy("part").agg(F.count(F.lit(1)).alias("pairs"), F.countDistinct("source").alias("posts"), F.floor(F.sum(size) / 4).alias("tokens")).collect()}
     tokens = sum(int(x["tokens"] or 0) for k, x in by.items() if k == "train")
     return {"schema_version": 1, "data_sha": data_hash, "counts": by, "hyperparams": hyper, "estimate": {"tokens_per_epoch": tokens, "cost_per_epoch": round(tokens * price_per_million / 1e6, 4)}}

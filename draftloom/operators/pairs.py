@@ -92,14 +92,18 @@ def corpus_counts(pairs: DataFrame) -> DataFrame:
     return pairs.agg(F.count(F.lit(1)).alias("pairs"), F.count_if(F.coalesce(F.col("context"), F.lit("")) != "").alias("with_context"))
 
 
-def per_target_cap(pairs: DataFrame, k: int, order: list[Column]) -> DataFrame:
-    """At most k pairs of one target text, the first in the order.
+def target_hash(messages: Column, context: Column) -> Column:
+    """What pairs of one target text share: the hash of the rewrite's body."""
+    return F.sha2(F.coalesce(text.strip(extract(messages, context, "target")), F.lit("")), 256)
+
+
+def per_target_cap(pairs: DataFrame, k: int, order: list[Column], target: Column | None = None) -> DataFrame:
+    """At most k pairs of one target text, the first in the order; ``target`` stands for the text where rows carry its hash only.
 
     A top-k: candidates are cut to k in each (text, salt) part first, so that a
     text that a third of the rows share does not meet in one task.
     """
-    body = F.sha2(F.coalesce(text.strip(extract(F.col("messages"), F.col("context"), "target")), F.lit("")), 256)
-    b = pairs.withColumn("_b", body).withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(64)))
+    b = pairs.withColumn("_b", target if target is not None else target_hash(F.col("messages"), F.col("context"))).withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(64)))
     part = b.withColumn("_n", F.row_number().over(Window.partitionBy("_b", "_salt").orderBy(*order))).filter(F.col("_n") <= k)
     return part.withColumn("_n", F.row_number().over(Window.partitionBy("_b").orderBy(*order))).filter(F.col("_n") <= k).select(*pairs.columns)
 

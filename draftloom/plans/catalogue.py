@@ -474,10 +474,14 @@ def val_split(spark: SparkSession, d: str) -> DataFrame:
 def training_manifest(spark: SparkSession, d: str) -> DataFrame:
     import json
 
-    p = _once(spark, d)
+    pairs = table(spark, d, "pairs")
     val = table(spark, d, "train_corpus").select(F.explode("val_posts").alias("post"))
-    c, _ = corpus.training_corpus(p, P.problems(p, SYSTEM, REQUIRED), val, cap=4)
-    return spark.createDataFrame([(json.dumps(corpus.manifest(c, corpus.data_hash(table(spark, d, "pairs").drop("ingested_at"), once=True), {"epochs": 3})),)], "manifest string")
+    m, c = F.col("messages"), F.col("context")
+    # texts are read where they lie; what is shuffled is their problems, hash and size
+    slim = pairs.select("pair_id", "source", "ingested_at", P.problems(pairs, SYSTEM, REQUIRED).alias("problems"), P.target_hash(m, c).alias("target"), corpus.chars(m).alias("chars"))
+    once = P.first_by_key(slim, "pair_id", [F.col("ingested_at")])
+    kept, _ = corpus.training_corpus(once, F.col("problems"), val, per_target=lambda rows: P.per_target_cap(rows, 4, [F.col("pair_id")], F.col("target")))
+    return spark.createDataFrame([(json.dumps(corpus.manifest(kept, corpus.data_hash(pairs.drop("ingested_at"), once=True), {"epochs": 3}, size=F.col("chars"))),)], "manifest string")
 
 
 # --- scores ------------------------------------------------------------------
