@@ -359,3 +359,25 @@ def test_plan_does_not_grow_with_the_items(items):
     total = sum(s * n for s, n in counts.items())
     assert time.time() - start < 60 and len(rows) < 3 * 4096 and containers <= total / 4096 * 1.01 + 1
     assert {s: sum(b - a for x, a, b, *_ in rows if x == s) for s in counts} == counts
+
+
+def test_recall_of_overlaps_by_length_and_edits(spark):
+    """Random substitutions of up to a quarter of the words: recall in every cell of length and rate."""
+    r = random.Random(23)
+    vocab = [f"w{i}" for i in range(5000)]
+    rows, cell, n = [], {}, 150
+    for words in (28, 100, 1000):
+        for rate in (10, 15, 20, 25):
+            for _ in range(n):
+                i = len(cell)
+                t = [r.choice(vocab) for _ in range(words)]
+                u = list(t)
+                for k in r.sample(range(words), words * rate // 100):
+                    u[k] = r.choice(vocab)
+                cell[i] = (words, rate)
+                rows += [(i, [("user", "few words"), ("assistant", " ".join(t))], None, "train"), (i + 100_000, [("user", "few words"), ("assistant", " ".join(u))], None, "val")]
+    df = spark.createDataFrame(rows, "pair_id bigint, messages array<struct<role:string,content:string>>, context string, split string")
+    found = [cell[a] for a, b in overlap.overlapping_ids(df).collect() if b == a + 100_000]
+    recall = {c: found.count(c) / n for c in sorted(set(cell.values()))}
+    print(recall)
+    assert min(recall.values()) >= 0.9, recall
