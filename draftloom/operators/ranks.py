@@ -20,15 +20,31 @@ def ranked(df: DataFrame, group: str, order: list[str], by: str, total: str = "_
     rows in the ranges before. The sorted rows are written once, since ranges
     are sampled anew at each run. A null group is a group.
     """
+    rows, part = _ranges(df, group, order, F.count(F.lit(1)))
+    part = part.withColumn(total, F.sum("_n").over(Window.partitionBy("_g")))  # one row a range: few
+    out = rows.join(part, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r")))
+    return out.withColumn(by, F.col("_before") + F.col("_at") - F.col("_first")).drop("_at", "_range", "_g", "_r", "_n", "_first", "_before")
+
+
+def running(df: DataFrame, group: str, order: list[str], value: str, by: str) -> DataFrame:
+    """Adds ``by``, the sum of ``value`` over the rows of the group up to this one, however few groups there are.
+
+    As ``ranked``: sums within a range of rows, and what the ranges before add up to. Ties in the order are taken in some fixed order.
+    """
+    rows, part = _ranges(df, group, order, F.sum(value))
+    own = F.sum(value).over(Window.partitionBy(group, "_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = rows.withColumn("_own", own).join(part, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r")))
+    return out.withColumn(by, F.col("_before") + F.col("_own")).drop("_at", "_range", "_g", "_r", "_n", "_first", "_before", "_own")
+
+
+def _ranges(df: DataFrame, group: str, order: list[str], measure: Column) -> tuple[DataFrame, DataFrame]:
+    """(rows with their range and place, a row a group and range: its measure ``_n``, that of the ranges before, its first place)."""
     keys = [group, *order]
     at = scratch(df.sparkSession, "ranges")
     df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()).write.parquet(at)
     rows = df.sparkSession.read.parquet(at).withColumn("_range", F.shiftright("_at", 33))
-    part = rows.groupBy(F.col(group).alias("_g"), F.col("_range").alias("_r")).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
-    part = part.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy("_g").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    part = part.withColumn(total, F.sum("_n").over(Window.partitionBy("_g")))  # one row a range: few
-    out = rows.join(part, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_range") == F.col("_r")))
-    return out.withColumn(by, F.col("_before") + F.col("_at") - F.col("_first")).drop("_at", "_range", "_g", "_r", "_n", "_first", "_before")
+    part = rows.groupBy(F.col(group).alias("_g"), F.col("_range").alias("_r")).agg(measure.alias("_n"), F.min("_at").alias("_first"))
+    return rows, part.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy("_g").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
 
 
 def hash60(seed: Column, key: Column) -> Column:

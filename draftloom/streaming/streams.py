@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from draftloom.operators import ranks
+from draftloom.operators.joins import lookup
+
 REQUEST = "id string, op string, texts array<string>"
 
 
@@ -95,12 +98,15 @@ def capture_sessions(events: DataFrame) -> DataFrame:
 
 
 def capture_batch(events: DataFrame) -> DataFrame:
-    """The last save of each capture session of a finished log, by window logic; columns as ``capture_sessions``."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("source").orderBy("at", "op").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    e = events.withColumn("drops", F.sum(F.when(F.col("op") == "drop", 1).otherwise(0)).over(w))
-    opened = F.struct(F.col("at").alias("at"), F.col("content").alias("content"))
-    e = e.withColumn("o", F.first(F.when(F.col("op") == "open", opened), ignorenulls=True).over(Window.partitionBy("source", "drops").orderBy("at", "op").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    s = e.filter((F.col("op") == "save") & F.col("o").isNotNull() & (F.col("content") != F.col("o.content")))
-    return s.groupBy("source", F.col("o.at").alias("snapped_at")).agg(F.max_by(F.struct(F.col("o.content").alias("before"), F.col("content").alias("after")), "at").alias("x")).select("source", "snapped_at", "x.before", "x.after", F.lit("save").alias("reason"))
+    """The last save of each capture session of a finished log; columns as ``capture_sessions``.
+
+    Drops are counted in ranges of the log, so a source with a third of all
+    events is no single task; a session's first open and last save are
+    pre-aggregated. Of events at one time opens come before saves.
+    """
+    e = ranks.running(events.select("source", "op", "at", "content", F.when(F.col("op") == "drop", 1).otherwise(0).alias("_drop")), "source", ["at", "op"], "_drop", "drops")
+    opened = e.filter("op = 'open'").groupBy(F.struct("source", "drops").alias("of")).agg(F.min(F.struct("at", "op", "content")).alias("o"))
+    saves = lookup(e.filter("op = 'save'"), opened, F.struct("source", "drops"), "of", "inner")
+    saves = saves.filter((F.struct("at", "op") > F.struct("o.at", "o.op")) & (F.col("content") != F.col("o.content")))
+    last = saves.groupBy("source", F.col("o.at").alias("snapped_at")).agg(F.max_by(F.struct(F.col("o.content").alias("before"), F.col("content").alias("after")), "at").alias("x"))
+    return last.select("source", "snapped_at", "x.before", "x.after", F.lit("save").alias("reason"))

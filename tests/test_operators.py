@@ -260,3 +260,18 @@ def test_evaluate_holdout_and_artifact(spark, tmp_path):
         write_json(spark, f"{tmp_path}/art/head.json", bad)
         with pytest.raises(ValueError):
             model.load_artifact(spark, f"{tmp_path}/art")
+
+
+def test_ranks_and_running_sums_over_ranges(spark):
+    from draftloom.operators import ranks
+
+    rows = [(i, "hot" if i % 4 else None, (i * 7919) % 1000, i % 3) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, g string, o int, v int").repartition(7)
+    want, seen = {}, {}
+    for i, g, o, v in sorted(rows, key=lambda r: (r[1] or "", r[2], r[0])):
+        n, t = seen.get(g, (0, 0))
+        want[i], seen[g] = (n, t + v), (n + 1, t + v)
+    got = {r.id: (r.k, r._total) for r in ranks.ranked(df, "g", ["o", "id"], "k").collect()}
+    assert got == {i: (n, 2250 if i % 4 else 750) for i, (n, _) in want.items()}
+    assert {r.id: r.s for r in ranks.running(df, "g", ["o", "id"], "v", "s").collect()} == {i: t for i, (_, t) in want.items()}
+    assert ranks.ranked(df.filter("false"), "g", ["o"], "k").count() == 0
