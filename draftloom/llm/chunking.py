@@ -113,6 +113,15 @@ def split_oversized(df: DataFrame, id_col: str, text_col: str, limit: int = LIMI
     return big.groupBy(id_col).agg(F.min("_text").alias("_text")).mapInPandas(cut, schema)
 
 
+def rejoined(cut: DataFrame, id_col: str) -> DataFrame:
+    """(id, text): the texts that pieces were cut from; of each piece what lies beyond the one before."""
+    of = F.array_sort(F.collect_list(F.struct("piece_start", "piece_end", "piece")))  # the pieces of one text
+    parts = cut.groupBy(id_col).agg(of.alias("p"))
+    seen = lambda i: F.coalesce(F.get("p", i - 1)["piece_end"], F.lit(0))
+    beyond = F.transform("p", lambda x, i: F.substring(x["piece"], seen(i) - x["piece_start"] + 1, F.length(x["piece"])))
+    return parts.select(id_col, F.array_join(beyond, "").alias("text"))
+
+
 def rechunk_targets(targets: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """The whole targets table with oversized texts cut and chunk numbers put right.
 

@@ -50,6 +50,11 @@ def p6_pieces(spark: SparkSession, d: str) -> DataFrame:
     return chunking.split_oversized(table(spark, d, "targets"), "target_id", "text")
 
 
+def p6_rejoined(spark: SparkSession, d: str) -> DataFrame:
+    """Every oversized text, joined from its pieces without their overlaps."""
+    return chunking.rejoined(p6_pieces(spark, d), "target_id")
+
+
 def p6_targets(spark: SparkSession, d: str) -> DataFrame:
     """All targets within the limit, chunk_index and chunk_total put right."""
     return chunking.rechunk_targets(table(spark, d, "targets"))
@@ -62,11 +67,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_splits": p5_splits,
     "p6_found": p6_found,
     "p6_pieces": p6_pieces,
+    "p6_rejoined": p6_rejoined,
     "p6_targets": p6_targets,
 }
 
 SQL: dict[str, str] = {
     "p6_found": "SELECT DISTINCT target_id FROM targets WHERE length(text) > 8000",
+    "p6_rejoined": "SELECT DISTINCT target_id, text FROM targets WHERE length(text) > 8000",
+    "p7_decoded": "SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents",
 } | twins.SQL
 
 
@@ -74,7 +82,13 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES |= {"p7_ids": p7_ids}
+def p7_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's text, decoded from its ids again."""
+    back = tokens.decode(tokens.encode(table(spark, d, "documents"), "doc_id", "text"), "ids", out="text")
+    return back.select("doc_id", "text")
+
+
+QUERIES |= {"p7_ids": p7_ids, "p7_decoded": p7_decoded}
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:

@@ -381,3 +381,10 @@ def test_recall_of_overlaps_by_length_and_edits(spark):
     recall = {c: found.count(c) / n for c in sorted(set(cell.values()))}
     print(recall)
     assert min(recall.values()) >= 0.9, recall
+
+
+def test_pieces_rejoin(spark):
+    long = ["Sentence number é. " * 1000, "x" * 20_001, ("# H\n\npara graph\n\n" * 900)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(long)] + [(1, long[1]), (9, None), (8, "short")], "target_id bigint, text string")
+    assert {r.target_id: r.text for r in chunking.rejoined(chunking.split_oversized(df, "target_id", "text"), "target_id").collect()} == dict(enumerate(long))
+    assert chunking.rejoined(chunking.split_oversized(df.filter("false"), "target_id", "text"), "target_id").count() == 0
