@@ -193,7 +193,8 @@ def _word_ratios(word: str) -> tuple[tuple[int, float], ...]:
     for part in {word[k : k + WINDOW] for k in range(0, len(word), WINDOW)}:
         for c, gain in () if part.isascii() or len(set(part)) < 4 else _window_ratios(part):  # a row of one letter tells nothing
             sums[c] = sums.get(c, 0.0) + gain
-    return tuple(sums.items())
+    # as for a short word, all of it must be of the chain's characters
+    return tuple((c, gain) for c, gain in sums.items() if to_bytes(word, CHAINS[c].split(">")[1]) is not None)
 
 
 @lru_cache(200_000)
