@@ -16,7 +16,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from draftloom.session import checkpoint, scratch, spread
@@ -41,13 +41,21 @@ def load_ranks(path: str = TOKENIZER) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def _literal(entries: dict[str, object], value_type: str) -> tuple[Column, int]:
-    """A foldable array of maps and its length; entry k is in the map numbered crc32(k) mod length."""
+def _literal(spark: SparkSession, entries: dict[str, object], value_type: str) -> tuple[Column, int]:
+    """A literal array of maps and its length; entry k is in the map numbered crc32(k) mod length.
+
+    It is made from Spark's binary form of the value: a plan's mentions of it
+    share the one block of bytes, and descriptions of the plan, which Spark
+    keeps on the driver and logs at each step, do not spell it out.
+    """
     n = max(1, len(entries) // 4)
     shelves: list[dict[str, object]] = [{} for _ in range(n)]
     for k, v in entries.items():
         shelves[zlib.crc32(k.encode()) % n][k] = v
-    return F.from_json(F.lit(json.dumps(shelves, separators=(",", ":"))), f"array<map<string,{value_type}>>"), n
+    row = spark.createDataFrame([(json.dumps(shelves, separators=(",", ":")),)], "j string").select(F.from_json("j", f"array<map<string,{value_type}>>"))._jdf
+    value = row.queryExecution().executedPlan().executeCollect()[0].getArray(0)
+    sql = spark._jvm.org.apache.spark.sql
+    return Column(sql.classic.ExpressionUtils.column(sql.catalyst.expressions.Literal(value, row.schema().fields()[0].dataType()))), n
 
 
 def _find(literal: tuple[Column, int], key: Column) -> Column:
@@ -117,7 +125,7 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 def code_words(words: DataFrame, ranks: dict[bytes, int], long: int = LONG) -> DataFrame:
     """(w, ...) with ids: whole-word tokens by one look-up, others by the fold; null for words above ``long`` bytes."""
-    literal = _literal({k.hex().upper(): v for k, v in ranks.items()}, "int")
+    literal = _literal(words.sparkSession, {k.hex().upper(): v for k, v in ranks.items()}, "int")
     first = words.withColumn("_id", _find(literal, F.hex(F.encode("w", "UTF-8"))))
     ids = F.when(F.col("_id").isNotNull(), F.array("_id")).when(F.octet_length("w") <= long, merge_word(F.col("w"), literal))
     return first.select(*words.columns, ids.alias("ids"))
@@ -151,7 +159,7 @@ def encode(docs: DataFrame, id_col: str, text_col: str, path: str = TOKENIZER, h
     if coded.filter("ids is null").take(1):
         coded = checkpoint(coded.filter("ids is not null").unionByName(code_long_words(coded.filter("ids is null").select("w", "n"), ranks)))
     top = coded.filter(F.octet_length("w") <= HOT_BYTES).orderBy(F.desc("n"), "w").limit(hot).select("w", "ids").collect()
-    shelf = _literal({r["w"]: r["ids"] for r in top}, "array<int>")
+    shelf = _literal(spark, {r["w"]: r["ids"] for r in top}, "array<int>")
 
     def look(ws: Column, b: Column) -> Column:
         """The ids of a block of words; -1 - k stands for word k if the literal lacks it, and is listed in ``open`` with its place."""
@@ -188,7 +196,7 @@ def encode(docs: DataFrame, id_col: str, text_col: str, path: str = TOKENIZER, h
 
 def decode(coded: DataFrame, ids_col: str, path: str = TOKENIZER, out: str = "decoded") -> DataFrame:
     """Adds the text of the ids: the tokens' binary pieces, concatenated. Null for null or an unknown id."""
-    literal = _literal({str(v): k.hex() for k, v in load_ranks(path).items()}, "string")
+    literal = _literal(coded.sparkSession, {str(v): k.hex() for k, v in load_ranks(path).items()}, "string")
     hexes = F.transform(F.col(ids_col), lambda i: _find(literal, i.cast("string")))
     text = F.decode(F.unhex(F.array_join(hexes, "")), "UTF-8")
     return coded.withColumn(out, F.when(F.forall(hexes, lambda h: h.isNotNull()), text))

@@ -344,6 +344,19 @@ def test_long_words(spark):
     assert b"".join(PIECES[i] for i in got[0]) == texts[0].encode()
 
 
+def test_plan_leaves_the_literals_out(spark):
+    """Plans are described at every step and kept by the driver: their text has no tables of the tokenizer or of the words."""
+    texts = [f"word{i} Wörter, 数{i} and <|endoftext|>" for i in range(3000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    words = docs.select(F.explode(F.split("text", " ")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    coded, ids = tokens.code_words(words, RANKS), tokens.encode(docs, "doc_id", "text")
+    back = tokens.decode(ids, "ids")
+    for df in (coded, ids, back):
+        assert len(df._jdf.queryExecution().toString()) < 60_000
+    assert all(list(r.ids) == REFERENCE.encode_ordinary(r.w) for r in coded.collect())
+    assert {r.doc_id: (list(r.ids), r.decoded) for r in back.collect()} == {k: (REFERENCE.encode_ordinary(t), t) for k, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("items", [30_000, 3_000_000])
 def test_plan_does_not_grow_with_the_items(items):
     """Rows of the plan and the time it takes depend on the capacity; nearly no space is left unused."""
