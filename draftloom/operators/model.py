@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Generator, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
+import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from draftloom.functions import text
 from draftloom.operators.pairs import extract, near_identity
 from draftloom.operators.splits import balanced_folds, shuffle_folds
+from draftloom.session import stored
 
 GRID = [0.01, 0.03, 0.1, 0.3, 1.0, 3.0, 10.0]
 
+#: Dimensions, with the intercept, up to which a fit starts from all second moments; above, from their diagonal.
+FULL = 257
+
+#: Rows up to which a table of posts is broadcast.
+NEAR = 200_000
+
 
 def assemble(pairs: DataFrame, max_sim: float | None = 0.85, extra: DataFrame | None = None) -> DataFrame:
     """(row_id, pair_row, post, text, label, synthetic, is_free): both sides of each kept pair (1 draft, 0 author).
@@ -47,7 +56,7 @@ def embed(rows: DataFrame, encode: Callable[[list[str]], np.ndarray], text_col:
                 v = np.asarray(encode([s.iloc[i] for i in at]), dtype=np.float64)
                 v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
                 for i, x in zip(at, v):
-                    got[i] = x.tolist()
+                    got[i] = x
             yield pd.Series(got)
 
     return rows.withColumn(out, F.pandas_udf(vectors, "array<double>")(text_col))
@@ -89,29 +98,151 @@ def class_weights(rows: DataFrame, label: str = "label") -> DataFrame:
     return rows.join(F.broadcast(n.crossJoin(total).withColumn("weight", F.col("_t") / (2.0 * F.col("_n")))), F.col(label) == F.col("_l")).drop("_l", "_n", "_t")
 
 
-def weighted(rows: DataFrame, vector: str = "vector", label: str = "label") -> DataFrame:
-    """What a fit takes: features, label and weight of each row."""
-    return class_weights(rows, label).select(array_to_vector(F.col(vector).cast("array<double>")).alias("_x"), F.col(label).cast("double").alias("_y"), "weight")
+class Linear(NamedTuple):
+    """A fitted head: a coefficient for each dimension and the intercept."""
+
+    coefficients: np.ndarray
+    intercept: float
 
 
-def fit(rows: DataFrame, c: float = 1.0, vector: str = "vector", label: str = "label"):
-    """Balanced L2 logistic regression with inverse strength C (regParam 1 / (C n), no standardisation)."""
-    w = weighted(rows, vector, label).persist()
+def fit(rows: DataFrame, c: float = 1.0, vector: str = "vector", label: str = "label") -> Linear:
+    """Balanced L2 logistic regression with inverse strength C (penalty 1 / (2 C n), none on the intercept, no standardisation)."""
+    x = _blocks(rows, F.lit(0), vector, label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _fit(w, c, w.count())
+        got = _fits(x, [(None, c)])
     finally:
-        w.unpersist()
-
-
-def _fit(w: DataFrame, c: float, n: int):
-    from pyspark.ml.classification import LogisticRegression
-
-    return LogisticRegression(featuresCol="_x", labelCol="_y", weightCol="weight", regParam=1.0 / (c * max(n, 1)), elasticNetParam=0.0, standardization=False, maxIter=60, tol=1e-6).fit(w)
+        x.unpersist()
+    if not got:
+        raise ValueError("a fit needs rows of both labels")
+    return got[None, c]
+
+
+def _blocks(rows: DataFrame, group: Column, vector: str, label: str) -> RDD:
+    """(group, label, n, bytes): vectors of a group and label side by side, as doubles, for as many rows as an Arrow batch has."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            g, y, v = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False), b.column(2)
+            sizes = set(v.value_lengths().to_pylist())
+            if len(sizes) > 1 or not all(sizes):
+                raise ValueError(f"a fit needs a vector of the same size in each row, got sizes {sorted(sizes, key=str)}")
+            x = v.flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            if not np.isfinite(x).all():
+                raise ValueError("a fit needs vectors of finite numbers")
+            out = [(k, w, x[(g == k) & (y == w)]) for k, w in sorted(set(zip(g.tolist(), y.tolist())))]
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int32()) for i in (0, 1)] + [pa.array([len(o[2]) for o in out], pa.int32()), pa.array([o[2].tobytes() for o in out], pa.binary())], names=["g", "y", "n", "x"])
+
+    r = rows.select(group.cast("int").alias("g"), F.col(label).cast("int").alias("y"), F.col(vector).cast("array<double>").alias("x"))
+    return r.mapInArrow(pack, "g int, y int, n int, x binary").rdd.map(lambda b: (b[0], b[1], b[2], bytes(b[3])))
+
+
+def _moments(full: int) -> Callable[[Iterator[tuple]], Iterator[dict]]:
+    """{(group, label): second moments of the vectors with a 1 behind}: only their diagonal above ``full`` dimensions."""
+
+    def of(parts: Iterator[tuple]) -> Iterator[dict]:
+        got: dict = {}
+        for g, y, n, raw in parts:
+            x = np.hstack([np.frombuffer(raw).reshape(n, -1), np.ones((n, 1))])
+            got = _merged(got, {(g, y): x.T @ x if x.shape[1] <= full else (x * x).sum(0)})
+        yield got
+
+    return of
+
+
+def _merged(a: dict, b: dict) -> dict:
+    if len(sizes := {len(m) for m in [*a.values(), *b.values()]}) > 1:
+        raise ValueError(f"a fit needs vectors of one size, got {sorted(n - 1 for n in sizes)}")
+    return a | {k: a[k] + m if k in a else m for k, m in b.items()}
+
+
+def _descend(pre: np.ndarray, rounds: int = 200, tol: float = 1e-8, kept: int = 12) -> Generator[np.ndarray, tuple[float, np.ndarray], np.ndarray]:
+    """L-BFGS from 0 as a generator: yields a point, is sent the loss and gradient there, returns the optimum. ``pre``: a bound of the inverse curvature, or its diagonal."""
+    scale = lambda v: pre @ v if pre.ndim == 2 else pre * v
+    w = np.zeros(len(pre))
+    f, g = yield w
+    past: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(rounds):
+        if np.abs(g).max() <= tol:
+            break
+        q, back = g.copy(), []
+        for s, y, sy in reversed(past):
+            back.append(a := (s @ q) / sy)
+            q -= a * y
+        q = scale(q) if not past else scale(q) * (past[-1][2] / (past[-1][1] @ scale(past[-1][1])))
+        for (s, y, sy), a in zip(past, reversed(back)):
+            q += (a - (y @ q) / sy) * s
+        if g @ q <= 0:
+            past, q = [], scale(g)
+        t, slope = 1.0, g @ q
+        while True:
+            f2, g2 = yield (to := w - t * q)
+            if f2 <= f - 1e-4 * t * slope + 1e-14 * abs(f):
+                break
+            t /= 2
+            if t < 1e-9:  # no better point can be told apart
+                return w
+        s, y = to - w, g2 - g
+        if s @ y > 1e-300:
+            past = [*past, (s, y, s @ y)][-kept:]
+        w, f, g = to, f2, g2
+    return w
+
+
+def _fits(x: RDD, problems: list[tuple[int | None, float]]) -> dict[tuple[int | None, float], Linear]:
+    """Heads of (left out group, C), all fitted in the same passes over the blocks; groups whose rest has one label are left out.
+
+    A pass yields the loss and gradient of every head that is not done; only
+    their sums reach the driver, of a size that rows and tasks don't change.
+    """
+    moments = x.mapPartitions(_moments(FULL)).treeReduce(_merged) if problems else {}
+    ask, got, weights, penalty, runs = {}, {}, {}, {}, {}
+    for k, c in problems:
+        own = {y: sum(m for (g, z), m in moments.items() if z == y and g != k) for y in (0, 1)}
+        if any(np.ndim(m) == 0 for m in own.values()):
+            continue
+        of = {y: float(m.flat[-1]) for y, m in own.items()}
+        weights[k, c] = [1 / (2 * of[0]), 1 / (2 * of[1])]  # n / (2 n_class), over the n of the mean
+        bound = sum(w * m for w, m in zip(weights[k, c], own.values())) / 4
+        penalty[k, c] = np.append(np.full(len(bound) - 1, 1 / (c * sum(of.values()))), 0.0)
+        runs[k, c] = _descend(np.linalg.inv(bound + np.diag(penalty[k, c])) if bound.ndim == 2 else 1 / (bound + penalty[k, c]))
+        ask[k, c] = next(runs[k, c])
+    while ask:
+        names = list(ask)
+        sums = x.mapPartitions(_gradients(np.column_stack([ask[p] for p in names]), np.array([weights[p] for p in names]).T, [p[0] for p in names])).treeReduce(np.add)
+        for p, (f, *g) in zip(names, sums.T):
+            w = ask.pop(p)
+            try:
+                ask[p] = runs[p].send((f + (penalty[p] * w * w).sum() / 2, np.array(g) + penalty[p] * w))
+            except StopIteration as end:
+                got[p] = Linear(end.value[:-1], float(end.value[-1]))
+    return got
+
+
+def _gradients(w: np.ndarray, weight: np.ndarray, left_out: list[int | None]) -> Callable[[Iterator[tuple]], Iterator[np.ndarray]]:
+    """Per head (a column) the weighted loss, then its gradient, over the blocks of all groups but its own."""
+
+    def of(parts: Iterator[tuple]) -> Iterator[np.ndarray]:
+        out = np.zeros((len(w) + 1, w.shape[1]))
+        for g, y, n, raw in parts:
+            at = [i for i, k in enumerate(left_out) if k != g]
+            if not at:
+                continue
+            x, sign = np.frombuffer(raw).reshape(n, -1), -1.0 if y else 1.0
+            m = sign * (x @ w[:-1, at] + w[-1, at])
+            r = (1 + np.tanh(m / 2)) * (sign / 2 * weight[y, at])
+            out[0, at] += np.logaddexp(0, m).sum(0) * weight[y, at]
+            out[1:-1, at] += x.T @ r
+            out[-1, at] += r.sum(0)
+        yield out
+
+    return of
 
 
 def head_of(model) -> dict:
     """The linear head of a fitted model, as the artifact keeps it."""
-    return {"schema_version": 1, "coef": [float(x) for x in model.coefficients.toArray()], "intercept": float(model.intercept)}
+    return {"schema_version": 1, "coef": [float(x) for x in model.coefficients], "intercept": float(model.intercept)}
 
 
 def predict(rows: DataFrame, head: dict, vector: str = "vector") -> DataFrame:
@@ -120,6 +251,11 @@ def predict(rows: DataFrame, head: dict, vector: str = "vector") -> DataFrame:
     return rows.withColumn("score", linear_score(F.col(vector), head["coef"], head["intercept"]))
 
 
+def near(posts: DataFrame) -> DataFrame:
+    """A table of posts, to be broadcast if it has few rows (counted), so that no vector is shuffled for it."""
+    return F.broadcast(posts) if posts.limit(NEAR + 1).count() <= NEAR else posts
+
+
 def subset(rows: DataFrame, keep: DataFrame) -> DataFrame:
     """The rows of the posts (post) to keep."""
     return rows.join(keep.select("post").distinct(), "post", "left_semi")
@@ -132,28 +268,48 @@ def sized_posts(rows: DataFrame) -> DataFrame:
 
 def choose_c(rows: DataFrame, folds: DataFrame, grid: list[float] = GRID) -> float:
     """The C with the best mean pairwise accuracy over folds of posts (post, fold); ties go to the smallest; 1.0 below 4 posts."""
+    folds = stored(folds, "folds")
     if len(folds.limit(4).collect()) < 4:
         return 1.0
-    from draftloom.operators.scores import linear_score
-
-    r = rows.join(folds, "post").select("post", "fold", "pair_row", "label", "vector").persist()
-    got: dict[float, list[float]] = {c: [] for c in sorted(grid)}
-    for k in [x[0] for x in folds.select("fold").distinct().orderBy("fold").collect()]:
-        train, test = r.filter(F.col("fold") != k), r.filter(F.col("fold") == k)
-        w = weighted(train).persist()
-        n = {x["_y"]: x["count"] for x in w.groupBy("_y").count().collect()}
-        if len(n) == 2:
-            heads = {c: head_of(_fit(w, c, sum(n.values()))) for c in got}
-            # all heads score the test posts in one pass
-            each = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), linear_score(F.col("vector"), h["coef"], h["intercept"]).alias("score")) for c, h in heads.items()])).alias("x")
-            for x in pairwise_accuracy(test.select("pair_row", "label", each).select("pair_row", "label", "x.*"), ["c"]).collect():
-                got[x["c"]].append(x["pairwise_accuracy"])
-        w.unpersist()
-    r.unpersist()
+    r = rows.join(near(folds), "post").select("fold", "pair_row", "label", "vector")
+    cs = sorted(grid)
+    x = _blocks(r, F.col("fold"), "vector", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        heads = _fits(x, [(k[0], c) for k in folds.select("fold").distinct().orderBy("fold").collect() for c in cs])
+    finally:
+        x.unpersist()
+    got: dict[float, list[float]] = {c: [] for c in cs}
+    # all heads score the posts of their fold in one pass
+    margin = F.posexplode(margins(F.col("fold"), F.col("vector"), {k: [heads[k, c] for c in cs] for k in sorted({k for k, _ in heads})})).alias("c", "z")
+    scored = r.select("fold", "pair_row", "label", margin).withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("z"))))
+    for x in pairwise_accuracy(scored, ["fold", "c"]).orderBy("fold", "c").collect():
+        got[cs[x["c"]]].append(x["pairwise_accuracy"])
     means = {c: float(np.mean(v)) for c, v in got.items() if v}
     return max(sorted(means), key=lambda c: (means[c], -c)) if means else min(grid)
 
 
+def margins(group: Column, vector: Column, heads: dict[int, list[Linear]]) -> Column:
+    """The margins of a vector under each head of its group, summed up in the order of ``linear_score``, so equal vectors have equal ones; null for a group without heads."""
+    by = {k: (np.array([h.coefficients for h in hs]).T, np.array([h.intercept for h in hs])) for k, hs in heads.items()}
+
+    @F.pandas_udf("array<double>")
+    def of(groups: pd.Series, vectors: pd.Series) -> pd.Series:
+        got: list = [None] * len(groups)
+        g = groups.to_numpy()
+        for k, (coef, intercept) in by.items():
+            at = np.flatnonzero((g == k) & vectors.notna().to_numpy())
+            if len(at):
+                x = np.stack(vectors.iloc[at].to_numpy())
+                z = np.tile(intercept, (len(at), 1))
+                for i in range(x.shape[1]):
+                    z += x[:, i : i + 1] * coef[i]
+                for i, row in zip(at, z):
+                    got[i] = row
+        return pd.Series(got)
+
+    return of(group, vector)
+
+
 def provenance(scored: DataFrame) -> DataFrame:
     """Pairwise accuracy of real and synthetic pairs; a table only where both kinds exist."""
     p = pairwise_accuracy(scored, ["synthetic"])
@@ -195,10 +351,11 @@ def evaluate_holdout(rows: DataFrame, held: DataFrame, c: float | None = None) -
     author texts train and are not scored. The strata real and synthetic are
     there only if the scored pairs are of both kinds; metrics have 4 places.
     """
-    train = rows.join(held.select("post"), "post", "left_anti")
-    test = rows.filter(~F.col("is_free")).join(held.select("post"), "post", "left_semi")
+    held = near(stored(held.select("post"), "held"))
+    train = rows.join(held, "post", "left_anti")
+    test = rows.filter(~F.col("is_free")).join(held, "post", "left_semi")
     chosen = c if c is not None else choose_c(train, balanced_folds(sized_posts(train)))
-    scored = predict(test, head_of(fit(train, chosen))).select("pair_row", "label", "score", "synthetic")
+    scored = stored(predict(test, head_of(fit(train, chosen))).select("pair_row", "label", "score", "synthetic"), "scored")
     every = scored.select("pair_row", "label", "score", F.explode(F.array(F.lit("all"), F.when(F.col("synthetic"), "synthetic").otherwise("real"))).alias("stratum"))
     kinds = scored.agg(F.count_distinct("synthetic")).first()[0]
     names = list(STRATA) if kinds > 1 else ["all"]

@@ -6,6 +6,7 @@ models or state; they are tested against brute force.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Callable
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from draftloom.functions import blocks, keys, text
 from draftloom.operators import corpus, model, pairs as P, scores as S, splits, targets as T
-from draftloom.session import spread, table
+from draftloom.session import spread, stored, table
 from draftloom.sources import jsonl, posts as posts_source
 from draftloom.streaming import streams
 
@@ -664,20 +665,27 @@ def dataset_rows(spark: SparkSession, d: str) -> DataFrame:
     return model.assemble(_once(spark, d))
 
 
+class _Hashes(dict):
+    """The hash of each word, computed at first sight."""
+
+    def __missing__(self, word: str) -> int:
+        h = self[word] = zlib.crc32(word.encode())
+        return h
+
+
 def hashed_words(texts: list[str], size: int = 64) -> np.ndarray:
     """A stand-in encoder: signed counts of hashed words."""
-    out = np.zeros((len(texts), size))
-    for i, t in enumerate(texts):
-        for w in t.lower().split():
-            h = zlib.crc32(w.encode())
-            out[i, h % size] += 1 if h & 0x8000 else -1
-    return out
+    words = [t.lower().split() for t in texts]
+    n = [len(w) for w in words]
+    h = np.fromiter(map(_Hashes().__getitem__, itertools.chain.from_iterable(words)), np.int64, sum(n))
+    at = np.repeat(np.arange(len(n)) * size, n) + h % size
+    return np.bincount(at, np.where(h & 0x8000, 1.0, -1.0), len(n) * size).reshape(-1, size)
 
 
 @query()
 def classifier(spark: SparkSession, d: str) -> DataFrame:
     """Dataset, embedding, nested choice of C, balanced fit, held-out metrics by post."""
-    rows = model.embed(model.assemble(_once(spark, d)), hashed_words).persist()
+    rows = stored(model.embed(model.assemble(_once(spark, d)), hashed_words, batch=1024).drop("text"), "embedded")
     held = splits.held_out(rows.select("post"), 0.2)
     return model.evaluate_holdout(rows, held)
 

@@ -71,6 +71,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once to a scratch table: what reads them runs none of their plan again."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clean() -> None:
     """Delete the scratch tables of this process; results that still read them must have been used before."""
     while _SCRATCH:

@@ -275,3 +275,59 @@ def test_ranks_and_running_sums_over_ranges(spark):
     assert got == {i: (n, 2250 if i % 4 else 750) for i, (n, _) in want.items()}
     assert {r.id: r.s for r in ranks.running(df, "g", ["o", "id"], "v", "s").collect()} == {i: t for i, (_, t) in want.items()}
     assert ranks.ranked(df.filter("false"), "g", ["o"], "k").count() == 0
+
+
+def test_all_fits_of_a_choice_share_their_passes(spark, monkeypatch):
+    import numpy as np
+
+    from draftloom.plans.catalogue import hashed_words
+
+    words = hashed_words(["B a b", "", "b  a B"], 8)
+    assert (words[0] == words[2]).all() and not words[1].any() and np.abs(words[0]).sum() in (1, 3)
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(120):
+        a, b = rng.normal(0.0, 1.0, 5), rng.normal(0.35, 1.3, 5)
+        a = b if i % 10 == 0 else a  # a tie under every head
+        rows += [(i, f"p{i % 9}", 1, [float(v) for v in b])] * (1 + i % 2) + [(i, f"p{i % 9}", 0, [float(v) for v in a])]
+    folds = {f"p{i}": i % 4 for i in range(9)}
+    df = spark.createDataFrame(rows, "pair_row int, post string, label int, vector array<double>").repartition(5)
+
+    def optimum(rest, c):
+        x, y = np.array([[*r[3], 1.0] for r in rest]), np.array([r[2] for r in rest])
+        weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
+        w, l2 = np.zeros(6), np.array([1 / c] * 5 + [0.0])
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-(x @ w)))
+            w = w - np.linalg.solve((x.T * (weight * p * (1 - p))) @ x + np.diag(l2), x.T @ (weight * (p - y)) + l2 * w)
+        return w
+
+    means = {}
+    for c in model.GRID:
+        per = []
+        for k in range(4):
+            w, won = optimum([r for r in rows if folds[r[1]] != k], c), []
+            for i in range(120):
+                if folds[f"p{i % 9}"] == k:
+                    d, a = (next(r[3] for r in rows if r[0] == i and r[2] == y) for y in (1, 0))
+                    won.append(0.5 if d == a else float(np.dot(d, w[:5]) > np.dot(a, w[:5])))
+            per.append(np.mean(won))
+        means[c] = np.mean(per)
+    sc, id_ = spark.sparkContext, "choice"
+    sc.setJobGroup(id_, "choice of C")
+    got = model.choose_c(df, spark.createDataFrame([*folds.items()], "post string, fold int"))
+    jobs = len(sc.statusTracker().getJobIdsForGroup(id_))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert got == max(model.GRID, key=lambda c: (round(means[c], 12), -c))
+    assert 0 < jobs < 100  # one fit after another took more than 500 on sf0.01
+
+    for full in (model.FULL, 2):  # with all second moments, and with their diagonal
+        monkeypatch.setattr(model, "FULL", full)
+        for c in (0.01, 10.0):
+            head = model.fit(df, c)
+            assert np.allclose([*head.coefficients, head.intercept], optimum(rows, c), atol=1e-4)
+    h = model.head_of(head)
+    z = spark.createDataFrame([(0, r[3]) for r in rows], "g int, v array<double>").select(S.linear_score(C("v"), h["coef"], h["intercept"]).alias("s"), (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.get(model.margins(C("g"), C("v"), {0: [head]}), 0)))).alias("t"))
+    assert z.filter("s <> t or t is null").count() == 0
+    with pytest.raises(ValueError, match="both labels"):
+        model.fit(df.filter("label = 1"))
